@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covdrift.operators.attribution import (
+    LogSource,
     attribute,
-    latest_audit,
-    match_audit_trail,
-    match_edit_log,
-    union_logs,
+    audit_trail_source,
+    edit_log_source,
+    match_logs,
 )
 from covdrift.operators.charges import classify, dispense_charges, last_dispense
 from covdrift.operators.coverage import (
@@ -67,20 +67,19 @@ def _recent(t: TestTables) -> DataFrame:
     return recent_primary_change(t["patient_insurance"], AS_OF_TS, P.change_lookback_days)
 
 
-def _edit(t: TestTables) -> DataFrame:
-    return match_edit_log(
-        t["insurance_change"], t["edit_log_header"], P.system_users, P.audit_minutes
-    )
+def _sources(t: TestTables) -> list[LogSource]:
+    return [
+        edit_log_source(t["edit_log_header"], P.system_users),
+        audit_trail_source(t["audit_trail"], P.system_users),
+    ]
 
 
-def _trail(t: TestTables) -> DataFrame:
-    return match_audit_trail(
-        t["insurance_change"], t["audit_trail"], P.system_users, P.audit_minutes
-    )
+def _attributed(t: TestTables) -> DataFrame:
+    return attribute(t["insurance_change"], _sources(t), P.audit_minutes)
 
 
 def _resolved(t: TestTables) -> DataFrame:
-    return resolve_user(latest_audit(union_logs(_edit(t), _trail(t))), t["emp_master"])
+    return resolve_user(_attributed(t), t["emp_master"])
 
 
 def _numbers(t: TestTables) -> DataFrame:
@@ -248,28 +247,22 @@ def highest_ids(t):
 
 @query
 def edit_log_match(t):
-    return _edit(t)
+    return match_logs(t["insurance_change"], _sources(t)[:1], P.audit_minutes).drop("log")
 
 
 @query
 def audit_trail_match(t):
-    return _trail(t)
+    return match_logs(t["insurance_change"], _sources(t)[1:], P.audit_minutes).drop("log")
 
 
 @query
 def audit_union(t):
-    return union_logs(_edit(t), _trail(t))
+    return match_logs(t["insurance_change"], _sources(t), P.audit_minutes)
 
 
 @query
 def audit_attribution(t):
-    return attribute(
-        t["insurance_change"],
-        t["edit_log_header"],
-        t["audit_trail"],
-        P.system_users,
-        P.audit_minutes,
-    )
+    return _attributed(t)
 
 
 @query

@@ -13,31 +13,35 @@ from pyspark.sql import functions as F
 SECOND = 1_000_000
 
 
-def epoch_micros(ts: Column) -> Column:
+def window_width(minutes: int) -> int:
+    """Length of the whole search window, in microseconds."""
+    return 2 * minutes * 60 * SECOND
+
+
+def _micros(ts: str) -> str:
     """Microseconds since 1970 of a zone-free timestamp; no session zone takes part."""
-    elapsed = ts - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    seconds = elapsed.cast("interval second").cast("decimal(20,6)")
-    return (seconds * SECOND).cast("bigint")
+    seconds = f"cast(cast({ts} - timestamp_ntz'1970-01-01' as interval second) as decimal(20, 6))"
+    return f"cast({seconds} * {SECOND} as bigint)"
 
 
-def floor_to(value: Column, width: int) -> Column:
-    return value - F.pmod(value, F.lit(width))
+def _edge(ts: str, minutes: int) -> str:
+    return f"({_micros(ts)} + {window_width(minutes) // 2})"
 
 
-def window_width(minutes: int) -> int:
-    """Length of the whole search window, in microseconds."""
-    return 2 * minutes * 60 * SECOND
+def _floor(value: str, width: int) -> str:
+    return f"({value} - pmod({value}, {width}))"
 
 
-def upper_edge(ts: Column, minutes: int) -> Column:
-    return epoch_micros(ts) + window_width(minutes) // 2
+def entry_bin(ts: str, minutes: int) -> Column:
+    """The bin of a log entry: bins are as long as the search window."""
+    return F.expr(_floor(_micros(ts), window_width(minutes)))
 
 
-def searched_bins(ts: Column, minutes: int) -> Column:
-    """The two bins, each as long as the search window, that the window around ``ts`` can touch."""
+def searched_bins(ts: str, minutes: int) -> Column:
+    """The two bins that the window around a change can touch."""
     width = window_width(minutes)
-    last = floor_to(upper_edge(ts, minutes), width)
-    return F.array(last - width, last)
+    last = _floor(_edge(ts, minutes), width)
+    return F.expr(f"array({last} - {width}, {last})")
 
 
 def _carry_forward(rows: DataFrame, group: str) -> DataFrame:
@@ -65,62 +69,50 @@ def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFr
     key or a window has.
     """
     width = window_width(minutes)
-    is_entry, is_probe = F.lit(False).alias("is_probe"), F.lit(True).alias("is_probe")
-    no_entry = F.lit(None).cast("struct<audit_ts:timestamp_ntz,audit_user:string>").alias("entry")
-
+    no_entry = "cast(null as struct<audit_ts: timestamp_ntz, audit_user: string>) as entry"
     moments = (
         entries.groupBy("match_key", "audit_ts")
         .agg(F.max("audit_user").alias("audit_user"))
-        .select(
+        .selectExpr(
             "match_key",
-            epoch_micros(F.col("audit_ts")).alias("at"),
-            F.struct("audit_ts", "audit_user").alias("entry"),
+            f"{_micros('audit_ts')} as at",
+            "struct(audit_ts, audit_user) as entry",
         )
-        .withColumn("second", floor_to(F.col("at"), SECOND))
+        .selectExpr("*", f"{_floor('at', SECOND)} as second")
     )
     sought = (
         probes.select("match_key", "probe_ts")
         .distinct()
-        .withColumn("at", upper_edge(F.col("probe_ts"), minutes))
-        .withColumn("second", floor_to(F.col("at"), SECOND))
+        .selectExpr("*", f"{_edge('probe_ts', minutes)} as at")
+        .selectExpr("*", f"{_floor('at', SECOND)} as second")
     )
 
     # Pass 1: per-second maxima, each also standing at the start of the next bin.
+    own_bin = _floor("second", width)
     seconds = moments.groupBy("match_key", "second").agg(F.max("entry").alias("entry"))
-    own_bin = floor_to(F.col("second"), width)
-    carried = seconds.select(
+    carried = seconds.selectExpr(
         "match_key",
-        F.explode(F.array(own_bin, own_bin + width)).alias("bin"),
-        F.col("second").alias("at"),
-        is_entry,
+        f"explode(array({own_bin}, {own_bin} + {width})) as bin",
+        "second as at",
+        "false as is_probe",
         "entry",
     )
     starts = sought.select("match_key", "second").distinct()
-    earlier = _carry_forward(
-        carried.unionByName(
-            starts.select(
-                "match_key",
-                own_bin.alias("bin"),
-                (F.col("second") - 1).alias("at"),
-                is_probe,
-                no_entry,
-            )
-        ),
-        "bin",
-    ).select("match_key", (F.col("at") + 1).alias("second"), "at", is_entry, "entry")
+    looking = starts.selectExpr(
+        "match_key", f"{own_bin} as bin", "second - 1 as at", "true as is_probe", no_entry
+    )
+    earlier = _carry_forward(carried.unionByName(looking), "bin")
 
     # Pass 2: the probe's own second, with the result of pass 1 standing before it.
-    own_second = moments.select("match_key", "second", "at", is_entry, "entry")
-    within_second = earlier.unionByName(own_second).withColumn(
-        "probe_ts", F.lit(None).cast("timestamp_ntz")
+    no_probe = "cast(null as timestamp_ntz) as probe_ts"
+    columns = ["match_key", "at", "false as is_probe", "entry", no_probe]
+    candidates = earlier.selectExpr("at + 1 as second", *columns).unionByName(
+        moments.selectExpr("second", *columns)
     )
-    found = _carry_forward(
-        within_second.unionByName(
-            sought.select("match_key", "second", "at", is_probe, no_entry, "probe_ts")
-        ),
-        "second",
+    looking = sought.selectExpr(
+        "second", "match_key", "at", "true as is_probe", no_entry, "probe_ts"
     )
-    oldest = F.col("at") - width
-    return found.where(epoch_micros(F.col("entry.audit_ts")) >= oldest).select(
+    found = _carry_forward(candidates.unionByName(looking), "second")
+    return found.where(f"{_micros('entry.audit_ts')} >= at - {width}").select(
         "match_key", "probe_ts", "entry.*"
     )

@@ -1,8 +1,8 @@
 """Who made a coverage change: the newest log entry near it that mentions it.
 
-The reference condition is an OR of equalities and "text contains" tests inside a time range, which
+The condition to meet is an OR of equalities and "text contains" tests inside a time range, which
 Spark can only run as a nested loop. Here every way to match becomes a key that both sides produce
-themselves, and the log is searched with an as-of join on the key:
+themselves, and the logs are searched with one as-of join on the key:
 
 * an id in one of the log's key columns: the id is the key;
 * a text that names the coverage table: one constant key, it ties the entry to every change near it;
@@ -15,19 +15,16 @@ Work grows with the length of the log text, not with log entries times changes.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covdrift.functions.predicates import is_person, wall_clock
-from covdrift.operators.asof import (
-    epoch_micros,
-    floor_to,
-    newest_within,
-    searched_bins,
-    window_width,
-)
+from covdrift.operators.asof import entry_bin, newest_within, searched_bins
 from covdrift.operators.latest import latest_per
 
 ID, TEXT, TABLE = "id", "text", "table"
@@ -36,186 +33,186 @@ COVERAGE_TABLE = "patient_insurance"
 CHANGE_KEY = ["patient_id", "insurance_sr_id"]
 
 
-def _key(kind: str | Column, value: Column) -> Column:
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    return F.concat(kind, F.lit(":"), value)
+@dataclass(frozen=True)
+class LogSource:
+    """One log, and what ties its rows to a change.
 
+    ``rows`` has ``audit_user``, ``audit_ts`` and the columns below. ``sought`` lists the values of
+    a change that match: an ``ID`` equals one of ``id_columns``, a ``TEXT`` is contained in one of
+    ``text_columns``, and a ``TABLE`` equals one of ``table_columns``.
+    """
 
-def _sought(changes: DataFrame, values: list[tuple[str, Column]]) -> DataFrame:
-    """(patient_id, insurance_sr_id, probe_ts, match_key): the keys each change looks for."""
-    keys = [F.when(value != "", _key(kind, value)) for kind, value in values]
-    return (
-        changes.dropna(subset=[*CHANGE_KEY, "insurance_change_ts"])
-        .select(
-            *CHANGE_KEY,
-            F.col("insurance_change_ts").alias("probe_ts"),
-            F.explode(F.array_distinct(F.array(*keys))).alias("match_key"),
-        )
-        .where(F.col("match_key").isNotNull())
-    )
-
+    name: str
+    rows: DataFrame
+    sought: Sequence[tuple[str, Column]]
+    id_columns: Sequence[str] = ()
+    text_columns: Sequence[str] = ()
+    table_columns: Sequence[str] = ()
 
-def _near(log: DataFrame, sought: DataFrame, minutes: int) -> DataFrame:
-    """Log rows whose bin some change searches, with the lengths of the texts sought there."""
-    is_text = F.col("match_key").startswith(f"{TEXT}:")
-    length = F.when(is_text, F.length("match_key") - len(TEXT) - 1)
-    searched = F.explode(searched_bins(F.col("probe_ts"), minutes))
-    bins = (
-        sought.select(searched.alias("bin"), length.alias("n"))
-        .groupBy("bin")
-        .agg(F.collect_set("n").alias("lengths"))
-    )
-    own_bin = floor_to(epoch_micros(F.col("audit_ts")), window_width(minutes))
-    return log.withColumn("bin", own_bin).join(bins, "bin")
 
+def _text(name: str, chars: int | None) -> Column:
+    return F.col(name) if chars is None else F.substring(name, 1, chars)
 
-def _whole(kind: str, value: Column) -> Column:
-    """One key made of the whole value."""
-    return F.array(_piece(F.lit(kind), value, F.lit(None).cast("int")))
 
+def _digits(name: str) -> Column:
+    return F.col(name).cast("string")
 
-def _substrings(value: Column) -> Column:
-    """Keys made of the substrings of ``value``, per sought length."""
-    return F.transform("lengths", lambda n: _piece(F.lit(TEXT), value, n))
 
+def edit_log_source(
+    edit_log: DataFrame, system_users: Sequence[str], text_chars: int | None = None
+) -> LogSource:
+    """Edit log: an id of the change in a key column, or one of its numbers in a logged value."""
+    texts = ["old_values", "new_values", "column_detail"]
+    ids = ["PK_1", "PK_2", "pk_3"]
+    rows = edit_log.where(is_person(F.col("modified_by"), system_users)).select(
+        F.col("modified_by").alias("audit_user"),
+        F.col("modified_date").alias("audit_ts"),
+        *ids,
+        *[_text(c, text_chars).alias(c) for c in texts],
+    )
+    sought = [
+        (ID, _digits("patient_id")),
+        (ID, _digits("insurance_sr_id")),
+        (TEXT, F.col("membership_id")),
+        (TEXT, F.col("insurance_no")),
+    ]
+    return LogSource("edit_log", rows, sought, id_columns=ids, text_columns=texts)
 
-def _piece(kind: Column, value: Column, length: Column) -> Column:
-    return F.struct(kind.alias("kind"), value.alias("value"), length.alias("length"))
 
+def audit_trail_source(
+    trail: DataFrame, system_users: Sequence[str], text_chars: int | None = None
+) -> LogSource:
+    """Audit trail: a statement that names the coverage table, or holds a number of the change.
 
-def _entries(near: DataFrame, pieces: list[Column]) -> DataFrame:
-    """(match_key, bin, audit_ts, audit_user): the keys each log row answers to."""
-    # A look-ahead match is empty, so the scan moves on by one character: all substrings of the
-    # given length, in one pass over the text.
-    every = F.concat(F.lit("(?s)(?=(.{"), F.col("piece.length"), F.lit("}))"))
-    parts = F.when(F.col("piece.length").isNull(), F.array("piece.value")).otherwise(
-        F.array_distinct(F.regexp_extract_all("piece.value", every, 1))
+    Loose on purpose: the table name ties any edit of the table to every change near it, and a
+    short patient id is found inside longer numbers.
+    """
+    statement = _text("sql_syntax", text_chars)
+    rows = trail.where(is_person(F.col("user_name"), system_users)).select(
+        F.col("user_name").alias("audit_user"),
+        F.col("tran_date").alias("audit_ts"),
+        statement.alias("statement"),
+        F.when(statement.contains(COVERAGE_TABLE), COVERAGE_TABLE).alias("named_table"),
     )
-    return (
-        near.select("bin", "audit_ts", "audit_user", F.explode(F.concat(*pieces)).alias("piece"))
-        .select("bin", "audit_ts", "audit_user", "piece.kind", F.explode(parts).alias("part"))
-        .where(F.col("part").isNotNull())
-        .select("bin", "audit_ts", "audit_user", _key(F.col("kind"), F.col("part")).alias("match_key"))
+    sought = [
+        (TABLE, F.lit(COVERAGE_TABLE)),
+        (TEXT, _digits("patient_id")),
+        (TEXT, F.col("membership_id")),
+        (TEXT, F.col("insurance_no")),
+    ]
+    return LogSource(
+        "audit_trail", rows, sought, text_columns=["statement"], table_columns=["named_table"]
     )
 
 
-def _newest_match(
-    changes: DataFrame, sought: DataFrame, entries: DataFrame, minutes: int
-) -> DataFrame:
-    """The newest matching entry per change row, over all its keys."""
-    asked = sought.select(
-        "match_key", F.explode(searched_bins(F.col("probe_ts"), minutes)).alias("bin")
-    ).distinct()
-    wanted = entries.join(asked, ["match_key", "bin"], "left_semi")
-    found = newest_within(sought, wanted, minutes)
-    newest = (
-        sought.join(found, ["match_key", "probe_ts"])
-        .groupBy(*CHANGE_KEY)
-        .agg(F.max(F.struct("audit_ts", "audit_user")).alias("entry"))
+def _piece(kind: str, value: Column, length: Column) -> Column:
+    return F.struct(
+        F.lit(kind).alias("kind"), value.alias("value"), length.cast("int").alias("length")
     )
-    return newest.select(*CHANGE_KEY, "entry.audit_user", "entry.audit_ts")
 
 
-def _text(name: str, chars: int | None) -> Column:
-    return F.col(name) if chars is None else F.substring(name, 1, chars)
+def _substring_pieces(text: Column) -> Column:
+    return F.transform("lengths", lambda length: _piece(TEXT, text, length))
+
+
+def _match_key(log: str) -> Column:
+    """Keys of different logs and kinds never meet."""
+    return F.concat_ws(":", F.lit(log), "piece.kind", "value")
+
+
+def _sought(changes: DataFrame, sources: Sequence[LogSource]) -> DataFrame:
+    """Every key each change looks for, with the value's length when it is sought inside texts."""
+    known = changes.dropna(subset=[*CHANGE_KEY, "insurance_change_ts"])
+
+    def of(source: LogSource) -> DataFrame:
+        # A blank number matches nothing.
+        pieces = [
+            F.when(value != "", _piece(kind, value, F.length(value) if kind == TEXT else F.lit(None)))
+            for kind, value in source.sought
+        ]
+        return (
+            known.select(
+                *CHANGE_KEY,
+                F.lit(source.name).alias("log"),
+                F.col("insurance_change_ts").alias("probe_ts"),
+                F.explode(F.array_distinct(F.array(*pieces))).alias("piece"),
+            )
+            .where(F.col("piece").isNotNull())
+            .withColumn("value", F.col("piece.value"))
+            .withColumn("match_key", _match_key(source.name))
+            .select(*CHANGE_KEY, "log", "probe_ts", "match_key", "piece.length")
+        )
 
+    return reduce(DataFrame.unionByName, map(of, sources))
 
-def _number(name: str) -> Column:
-    return F.col(name).cast("string")
+
+def _near(source: LogSource, sought: DataFrame, minutes: int) -> DataFrame:
+    """Log rows whose bin some change searches, with the lengths of the texts sought there."""
+    bins = (
+        sought.where(F.col("log") == source.name)
+        .select(F.explode(searched_bins("probe_ts", minutes)).alias("bin"), "length")
+        .groupBy("bin")
+        .agg(F.collect_set("length").alias("lengths"))
+    )
+    return source.rows.withColumn("bin", entry_bin("audit_ts", minutes)).join(bins, "bin")
 
 
-def match_edit_log(
-    changes: DataFrame,
-    edit_log: DataFrame,
-    system_users: tuple[str, ...],
-    minutes: int,
-    text_chars: int | None = None,
-) -> DataFrame:
-    """Newest edit-log entry per change: same id in a key column, or a number in a logged value."""
-    sought = _sought(
-        changes,
-        [
-            (ID, _number("patient_id")),
-            (ID, _number("insurance_sr_id")),
-            (TEXT, F.col("membership_id")),
-            (TEXT, F.col("insurance_no")),
-        ],
+def _entries(source: LogSource, near: DataFrame) -> DataFrame:
+    """(match_key, bin, audit_ts, audit_user): the keys each log row answers to."""
+    kinds = [(ID, source.id_columns), (TABLE, source.table_columns)]
+    whole = [_piece(kind, F.col(c), F.lit(None)) for kind, columns in kinds for c in columns]
+    inside = [_substring_pieces(F.col(c)) for c in source.text_columns]
+    # A look-ahead match is empty, so the scan moves on by one character: all substrings of the
+    # given length, in one pass over the text. None starts inside a surrogate pair.
+    every = F.concat(
+        F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{"), F.col("piece.length"), F.lit("}))")
     )
-    log = edit_log.where(is_person(F.col("modified_by"), system_users)).select(
-        F.col("modified_by").alias("audit_user"),
-        F.col("modified_date").alias("audit_ts"),
-        "PK_1",
-        "PK_2",
-        "pk_3",
-        "old_values",
-        "new_values",
-        "column_detail",
+    substrings = F.array_distinct(F.regexp_extract_all("piece.value", every, 1))
+    values = F.when(F.col("piece.length").isNull(), F.array("piece.value")).otherwise(substrings)
+    keep = ["bin", "audit_ts", "audit_user"]
+    return (
+        near.select(*keep, F.explode(F.concat(F.array(*whole), *inside)).alias("piece"))
+        .where(F.col("piece.value").isNotNull())
+        .select(*keep, "piece", F.explode(values).alias("value"))
+        .select(*keep, _match_key(source.name).alias("match_key"))
     )
-    pieces = [_whole(ID, F.col(c)) for c in ("PK_1", "PK_2", "pk_3")]
-    pieces += [
-        _substrings(_text(c, text_chars)) for c in ("old_values", "new_values", "column_detail")
-    ]
-    entries = _entries(_near(log, sought, minutes), pieces)
-    return _newest_match(changes, sought, entries, minutes)
 
 
-def match_audit_trail(
-    changes: DataFrame,
-    trail: DataFrame,
-    system_users: tuple[str, ...],
-    minutes: int,
-    text_chars: int | None = None,
-) -> DataFrame:
-    """Newest audit-trail entry per change: its statement names the table or holds a number.
+def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> DataFrame:
+    """Newest matching entry per change row and log, over all keys.
 
-    Loose on purpose: the table name ties any edit of the table to every change near it, and a
-    short patient id is found inside longer numbers.
+    ``changes`` has (patient_id, insurance_sr_id, membership_id, insurance_no,
+    insurance_change_ts) and is read several times: hand in a small or materialised frame.
+    Entries that are not the newest of their log cannot win later and are never formed.
     """
-    sought = _sought(
-        changes,
-        [
-            (TABLE, F.lit(COVERAGE_TABLE)),
-            (TEXT, _number("patient_id")),
-            (TEXT, F.col("membership_id")),
-            (TEXT, F.col("insurance_no")),
-        ],
+    sought = _sought(changes, sources)
+    entries = reduce(
+        DataFrame.unionByName, [_entries(s, _near(s, sought, minutes)) for s in sources]
     )
-    log = trail.where(is_person(F.col("user_name"), system_users)).select(
-        F.col("user_name").alias("audit_user"),
-        F.col("tran_date").alias("audit_ts"),
-        _text("sql_syntax", text_chars).alias("statement"),
+    asked = sought.select(
+        "match_key", F.explode(searched_bins("probe_ts", minutes)).alias("bin")
+    ).distinct()
+    wanted = entries.join(asked, ["match_key", "bin"], "left_semi")
+    found = newest_within(sought, wanted, minutes)
+    newest = (
+        sought.join(found, ["match_key", "probe_ts"])
+        .groupBy(*CHANGE_KEY, "log")
+        .agg(F.max(F.struct("audit_ts", "audit_user")).alias("entry"))
     )
-    names_table = F.when(F.col("statement").contains(COVERAGE_TABLE), COVERAGE_TABLE)
-    pieces = [_whole(TABLE, names_table), _substrings(F.col("statement"))]
-    entries = _entries(_near(log, sought, minutes), pieces)
-    return _newest_match(changes, sought, entries, minutes)
+    return newest.select(*CHANGE_KEY, "log", "entry.audit_user", "entry.audit_ts")
 
 
-def union_logs(edit: DataFrame, trail: DataFrame) -> DataFrame:
-    """Both logs' newest entries per change, aligned."""
-    return edit.unionByName(trail)
+def latest_audit(matched: DataFrame) -> DataFrame:
+    """The newest entry per change row over all logs; at one moment the highest user."""
+    newest_first = [F.col("audit_ts").desc_nulls_last(), F.col("audit_user").desc_nulls_last()]
+    return latest_per(matched.drop("log"), CHANGE_KEY, newest_first)
 
 
-def latest_audit(attributed: DataFrame) -> DataFrame:
-    """The newest entry per change row over both logs; at one moment the highest user."""
-    newest_first = [F.col("audit_ts").desc_nulls_last(), F.col("audit_user").desc_nulls_last()]
-    return latest_per(attributed, CHANGE_KEY, newest_first)
+def attribute(changes: DataFrame, sources: Sequence[LogSource], minutes: int = 10) -> DataFrame:
+    """(patient_id, insurance_sr_id, audit_user, audit_ts) for each change some entry matches."""
+    return latest_audit(match_logs(changes, sources, minutes))
 
 
 def logged_since(log: DataFrame, ts: str, as_of_ts: datetime, days: int, minutes: int) -> DataFrame:
     """Log rows that can lie near a change of the last ``days`` days; the scan skips the rest."""
     return log.where(F.col(ts) >= wall_clock(as_of_ts - timedelta(days=days, minutes=minutes)))
-
-
-def attribute(
-    changes: DataFrame,
-    edit_log: DataFrame,
-    trail: DataFrame,
-    system_users: tuple[str, ...],
-    minutes: int = 10,
-    text_chars: int | None = None,
-) -> DataFrame:
-    """(patient_id, insurance_sr_id, audit_user, audit_ts) for each change some entry matches."""
-    edit = match_edit_log(changes, edit_log, system_users, minutes, text_chars)
-    statements = match_audit_trail(changes, trail, system_users, minutes, text_chars)
-    return latest_audit(union_logs(edit, statements))

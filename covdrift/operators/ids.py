@@ -24,6 +24,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder and read from there: fixed rows, no lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def max_id(table: DataFrame, id_col: str = "tran_id") -> DataFrame:
     """One row: the highest id, 0 for an empty table."""
     return table.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("max_id"))
@@ -36,12 +42,10 @@ def assign_ids(df: DataFrame, base: DataFrame, key: str, id_col: str) -> DataFra
     checkpoint, so a lost executor cannot shift it. Each partition's first id follows from the
     row counts of those before it: one row per partition, small enough to broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
+    placed = materialised(
         df.repartitionByRange(F.col(key).asc())
         .sortWithinPartitions(F.col(key).asc())
         .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
     )
     part = F.shiftright("_at", ROW_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))

@@ -14,14 +14,15 @@ from covdrift.functions.text import capped_list, fold_case, split_team, squeeze
 from covdrift.params import Params
 
 
-def distinct_numbers(alerts: DataFrame, group: str | None) -> DataFrame:
-    """Patient numbers per group, once each whatever their case and spacing; blanks dropped."""
-    keys = [group] if group else []
+def distinct_numbers(alerts: DataFrame, *group: str) -> DataFrame:
+    """Patient numbers per group, once each whatever their case and spacing.
+
+    A blank number stays, as NULL, so a group without any number is not lost.
+    """
     number = squeeze(F.col("patient_no"))
     return (
-        alerts.select(*keys, number.alias("patient_no"), fold_case(number).alias("_folded"))
-        .where("patient_no <> ''")
-        .groupBy(*keys, "_folded")
+        alerts.select(*group, F.when(number != "", number).alias("patient_no"))
+        .groupBy(*group, fold_case(F.col("patient_no")).alias("_folded"))
         .agg(F.min("patient_no").alias("patient_no"))
         .drop("_folded")
     )
@@ -32,28 +33,23 @@ def user_numbers(user_alerts: DataFrame, shown: int) -> DataFrame:
 
     An employee all of whose alerts lack a number stays, with an empty list.
     """
-    alerts = user_alerts.select(
-        F.trim("employee_name").alias("employee"), F.col("patient_no")
-    ).where("employee <> ''")
-    numbers = distinct_numbers(alerts, "employee")
+    employee = F.trim("employee_name").alias("employee")
+    numbers = distinct_numbers(
+        user_alerts.select(employee, "patient_no").where("employee <> ''"), "employee"
+    )
     in_order = Window.partitionBy("employee").orderBy("patient_no")
     first = (
-        numbers.withColumn("_rank", F.row_number().over(in_order))
+        numbers.where(F.col("patient_no").isNotNull())
+        .withColumn("_rank", F.row_number().over(in_order))
         .where(F.col("_rank") <= shown)
         .groupBy("employee")
         .agg(F.sort_array(F.collect_list("patient_no")).alias("numbers"))
     )
-    totals = numbers.groupBy("employee").agg(F.count("*").alias("n_numbers"))
-    return (
-        alerts.select("employee")
-        .distinct()
-        .join(totals, "employee", "left")
-        .join(first, "employee", "left")
-        .select(
-            "employee",
-            F.coalesce("n_numbers", F.lit(0)).alias("n_numbers"),
-            F.coalesce("numbers", F.array().cast("array<string>")).alias("numbers"),
-        )
+    totals = numbers.groupBy("employee").agg(F.count("patient_no").alias("n_numbers"))
+    return totals.join(first, "employee", "left").select(
+        "employee",
+        "n_numbers",
+        F.coalesce("numbers", F.array().cast("array<string>")).alias("numbers"),
     )
 
 
@@ -105,7 +101,7 @@ def staff_outbox(patient_alerts: DataFrame, batch: DataFrame, params: Params) ->
     """
     texts = params.messages
     team = split_team(texts.staff_team)
-    numbers = distinct_numbers(patient_alerts, None)
+    numbers = distinct_numbers(patient_alerts).where(F.col("patient_no").isNotNull())
     no_number, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
     parts = (
         numbers.orderBy("patient_no")

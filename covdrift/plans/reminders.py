@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from covdrift.functions.predicates import map_code
 from covdrift.functions.text import reminder_text
-from covdrift.operators.attribution import attribute, logged_since
+from covdrift.operators.attribution import (
+    attribute,
+    audit_trail_source,
+    edit_log_source,
+    logged_since,
+)
 from covdrift.operators.charges import dispense_charges, last_dispense
 from covdrift.operators.coverage import (
     change_after_dispense,
@@ -18,7 +23,7 @@ from covdrift.operators.coverage import (
     recent_primary_change,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_patient, with_plan
-from covdrift.operators.ids import assign_ids, max_id
+from covdrift.operators.ids import assign_ids, materialised, max_id
 from covdrift.operators.narrow import bounded_keys, only_keys
 from covdrift.operators.outbox import staff_outbox, user_numbers, user_outbox, with_payload
 from covdrift.operators.reminders import (
@@ -144,14 +149,12 @@ def attributed_changes(
     changes = recent_primary_change(insurance, params.as_of_ts, days).withColumnRenamed(
         "sr_id", "insurance_sr_id"
     )
-    audited = attribute(
-        changes,
-        logged_since(tables["edit_log_header"], "modified_date", params.as_of_ts, days, minutes),
-        logged_since(tables["audit_trail"], "tran_date", params.as_of_ts, days, minutes),
-        params.system_users,
-        minutes,
-        params.audit_text_chars,
-    )
+    edits = logged_since(tables["edit_log_header"], "modified_date", params.as_of_ts, days, minutes)
+    trail = logged_since(tables["audit_trail"], "tran_date", params.as_of_ts, days, minutes)
+    users, chars = params.system_users, params.audit_text_chars
+    sources = [edit_log_source(edits, users, chars), audit_trail_source(trail, users, chars)]
+    # The changes are few and read several times.
+    audited = attribute(materialised(changes), sources, minutes)
     return resolve_user(audited, tables["emp_master"])
 
 

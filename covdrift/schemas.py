@@ -22,7 +22,7 @@ _TYPES = {
 }
 
 
-def _schema(columns: str) -> StructType:
+def make_schema(columns: str) -> StructType:
     """Schema of ``name type, ...``; parsed here so that importing needs no Spark session."""
     schema = StructType()
     for column in columns.split(", "):
@@ -32,25 +32,25 @@ def _schema(columns: str) -> StructType:
 
 
 SCHEMAS: dict[str, StructType] = {
-    "billing_detail": _schema("tran_id bigint, sr_id bigint, billing_id string, service_date date"),
-    "billing_header": _schema("tran_id bigint, patient_id bigint"),
-    "billing_master": _schema("billing_id string, descr string"),
-    "patient_insurance": _schema(
+    "billing_detail": make_schema("tran_id bigint, sr_id bigint, billing_id string, service_date date"),
+    "billing_header": make_schema("tran_id bigint, patient_id bigint"),
+    "billing_master": make_schema("billing_id string, descr string"),
+    "patient_insurance": make_schema(
         "patient_id bigint, sr_id bigint, insurance_id bigint, insurance_no string, "
         "membership_id string, group_no string, group_name string, start_date date, "
         "end_date date, priority string, active string, created_date timestamp_ntz, "
         "changed_date timestamp_ntz"
     ),
-    "schedule_detail": _schema(
+    "schedule_detail": make_schema(
         "tran_id bigint, forwhom_id bigint, forwhom_name string, procedure_id int, "
         "schedule_date date, schedule_time string, office_id bigint, status string, "
         "schedule_note string, canceled_date timestamp_ntz"
     ),
-    "patient_master": _schema("id bigint, patient_no string, lastname string, firstname string"),
-    "office_master": _schema("srno bigint, office_code string"),
-    "insurance_plan_master": _schema("srno bigint, name string, carrier_id bigint"),
-    "insurance_carrier_master": _schema("srno bigint, name string"),
-    "todo": _schema(
+    "patient_master": make_schema("id bigint, patient_no string, lastname string, firstname string"),
+    "office_master": make_schema("srno bigint, office_code string"),
+    "insurance_plan_master": make_schema("srno bigint, name string, carrier_id bigint"),
+    "insurance_carrier_master": make_schema("srno bigint, name string"),
+    "todo": make_schema(
         "tran_id bigint, tran_date date, status string, forwhom string, forwhom_name string, "
         "category_id int, todo string, todo_at string, todo_date date, todo_time string, "
         "tobe_doneby string, generated_by string, priority string, todo_by_multi_group string, "
@@ -58,17 +58,17 @@ SCHEMAS: dict[str, StructType] = {
         "note string, source string, is_auto string, created_date timestamp_ntz, "
         "changed_date timestamp_ntz, createdby_id bigint, changedby_id bigint, iteration int"
     ),
-    "tobe_done_detail": _schema(
+    "tobe_done_detail": make_schema(
         "tran_id bigint, todo_id bigint, todo_date date, todo_at string, iteration int, "
         "task_status string, show_date date, created_date timestamp_ntz, "
         "changed_date timestamp_ntz, createdby_id bigint, changedby_id bigint"
     ),
-    "edit_log_header": _schema(
+    "edit_log_header": make_schema(
         "PK_1 string, PK_2 string, pk_3 string, old_values string, new_values string, "
         "column_detail string, modified_by string, modified_date timestamp_ntz"
     ),
-    "audit_trail": _schema("user_name string, tran_date timestamp_ntz, sql_syntax string"),
-    "emp_master": _schema("empid bigint, user_name string, firstname string, lastname string"),
+    "audit_trail": make_schema("user_name string, tran_date timestamp_ntz, sql_syntax string"),
+    "emp_master": make_schema("empid bigint, user_name string, firstname string, lastname string"),
 }
 
 

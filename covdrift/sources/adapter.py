@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from covdrift.params import DrugRule, Messages, Params
-from covdrift.schemas import SCHEMAS, conform
+from covdrift.schemas import SCHEMAS, conform, make_schema
 
 AS_OF = date(2024, 1, 16)
 AS_OF_TS = datetime(2024, 1, 16, 12, 0, 0)
@@ -181,9 +181,23 @@ VIEWS: dict[str, View] = {
 }
 
 
+# Columns of the test tables that the views use.
+SOURCES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string",
+}
+
+
 def read_view(spark: SparkSession, folder: str, name: str) -> DataFrame:
     view = VIEWS[name]
-    rows = spark.read.parquet(f"{folder.rstrip('/')}/{view.source}.parquet")
+    reader = spark.read.schema(make_schema(SOURCES[view.source]))
+    rows = reader.parquet(f"{folder.rstrip('/')}/{view.source}.parquet")
     if view.where:
         rows = rows.where(view.where)
     rows = rows.selectExpr(*[f"{expr} AS {column}" for column, expr in view.columns.items()])
