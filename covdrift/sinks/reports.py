@@ -41,6 +41,7 @@ def write_report(report: DataFrame, folder: str, name: str, stamp: str) -> tuple
         .option("sep", ",")
         .option("quote", '"')
         .option("escape", '"')
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .csv(path)
     )
     return path, seen.get["report_rows"]

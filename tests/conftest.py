@@ -27,6 +27,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
