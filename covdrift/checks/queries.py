@@ -20,6 +20,7 @@ from covdrift.operators.coverage import (
     current_primary,
     primary_at_dispense,
     recent_primary_change,
+    recent_primary_edits,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_plan
 from covdrift.operators.ids import assign_ids, max_id
@@ -30,7 +31,7 @@ from covdrift.operators.reminders import (
     reminder_rows,
     suppress_open,
 )
-from covdrift.operators.schedule import next_appointment
+from covdrift.operators.schedule import next_appointment, open_appointments
 from covdrift.operators.snapshot import alert_text, coverage_snapshot, snapshot_drift
 from covdrift.operators.users import patient_alerts, resolve_user, unattributed, user_alerts
 from covdrift.plans import alert_report as report
@@ -64,7 +65,8 @@ def _last(t: TestTables) -> DataFrame:
 
 
 def _recent(t: TestTables) -> DataFrame:
-    return recent_primary_change(t["patient_insurance"], AS_OF_TS, P.change_lookback_days)
+    edits = recent_primary_edits(t["patient_insurance"], AS_OF_TS, P.change_lookback_days)
+    return recent_primary_change(edits)
 
 
 def _sources(t: TestTables) -> list[LogSource]:
@@ -154,9 +156,10 @@ def change_after_last_dispense(t):
 
 @query
 def next_appointments(t):
-    return next_appointment(
+    appointments = open_appointments(
         t["schedule_detail"], AS_OF, P.horizon_days, P.procedure_drugs
-    ).drop("schedule_patient_name", "schedule_note")
+    )
+    return next_appointment(appointments).drop("schedule_patient_name", "schedule_note")
 
 
 @query

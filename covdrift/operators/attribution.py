@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from covdrift.functions.predicates import is_person, wall_clock
 from covdrift.operators.asof import entry_bin, newest_within, searched_bins
 from covdrift.operators.latest import latest_per
+from covdrift.operators.narrow import fits_broadcast
 
 ID, TEXT, TABLE = "id", "text", "table"
 # Fixed value: the table name looked for in logged statements.
@@ -146,15 +147,15 @@ def _sought(changes: DataFrame, sources: Sequence[LogSource]) -> DataFrame:
     return reduce(DataFrame.unionByName, map(of, sources))
 
 
-def _near(source: LogSource, sought: DataFrame, minutes: int) -> DataFrame:
+def _searched_bins(sought: DataFrame, minutes: int) -> DataFrame:
+    """``sought`` with every bin it has to be searched in."""
+    return sought.withColumn("bin", F.explode(searched_bins("probe_ts", minutes)))
+
+
+def _near(source: LogSource, bins: DataFrame, minutes: int) -> DataFrame:
     """Log rows whose bin some change searches, with the lengths of the texts sought there."""
-    bins = (
-        sought.where(F.col("log") == source.name)
-        .select(F.explode(searched_bins("probe_ts", minutes)).alias("bin"), "length")
-        .groupBy("bin")
-        .agg(F.collect_set("length").alias("lengths"))
-    )
-    return source.rows.withColumn("bin", entry_bin("audit_ts", minutes)).join(bins, "bin")
+    own = bins.where(F.col("log") == source.name).drop("log")
+    return source.rows.withColumn("bin", entry_bin("audit_ts", minutes)).join(own, "bin")
 
 
 def _entries(source: LogSource, near: DataFrame) -> DataFrame:
@@ -184,15 +185,23 @@ def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -
     ``changes`` has (patient_id, insurance_sr_id, membership_id, insurance_no,
     insurance_change_ts) and is read several times: hand in a small or materialised frame.
     Entries that are not the newest of their log cannot win later and are never formed.
+
+    While the keys asked for stay under the broadcast bound, log text and substrings are filtered
+    where they are read and never shuffled; beyond it the same joins run as shuffle joins.
     """
     sought = _sought(changes, sources)
+    searched = _searched_bins(sought, minutes)
+    key_hash = F.xxhash64("match_key", "bin").alias("key_hash")
+    # A pre-filter: keys are compared in full below, so two that share a hash do no harm.
+    asked = searched.select(key_hash).distinct()
+    # Each bin has a key and each length in a bin has a key, so this is bounded by ``asked``.
+    bins = searched.groupBy("log", "bin").agg(F.collect_set("length").alias("lengths"))
+    if fits_broadcast(asked):
+        asked, bins = F.broadcast(asked), F.broadcast(bins)
     entries = reduce(
-        DataFrame.unionByName, [_entries(s, _near(s, sought, minutes)) for s in sources]
+        DataFrame.unionByName, [_entries(s, _near(s, bins, minutes)) for s in sources]
     )
-    asked = sought.select(
-        "match_key", F.explode(searched_bins("probe_ts", minutes)).alias("bin")
-    ).distinct()
-    wanted = entries.join(asked, ["match_key", "bin"], "left_semi")
+    wanted = entries.withColumn("key_hash", key_hash).join(asked, "key_hash", "left_semi")
     found = newest_within(sought, wanted, minutes)
     newest = (
         sought.join(found, ["match_key", "probe_ts"])

@@ -34,20 +34,24 @@ def current_primary(insurance: DataFrame, as_of: date) -> DataFrame:
     return latest_per(rows, ["patient_id"], _latest_edit_first())
 
 
-def recent_primary_change(insurance: DataFrame, as_of_ts: datetime, days: int) -> DataFrame:
-    """Each patient's last edited primary row among those edited in the last ``days`` days.
+def recent_primary_edits(insurance: DataFrame, as_of_ts: datetime, days: int) -> DataFrame:
+    """Primary rows edited in the last ``days`` days.
 
     "Edited" is the change time, or the creation time of a row never changed. Written as two
     plain comparisons, which the scan can push down; a comparison on the coalesced value cannot.
     """
     bound = wall_clock(as_of_ts - timedelta(days=days))
     changed, created = F.col("changed_date"), F.col("created_date")
-    rows = (
+    return (
         _primary_rows(insurance)
         .where((changed >= bound) | (changed.isNull() & (created >= bound)))
         .withColumn("insurance_change_ts", F.coalesce(changed, created))
     )
-    return latest_per(rows, ["patient_id"], _latest_edit_first())
+
+
+def recent_primary_change(edits: DataFrame) -> DataFrame:
+    """Each patient's last of the recent edits."""
+    return latest_per(edits, ["patient_id"], _latest_edit_first())
 
 
 def primary_at_dispense(

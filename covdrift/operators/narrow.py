@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One long per row: about 8 MB raw, and a few times that as a hash table on each executor.
-MAX_BROADCAST_KEYS = 1_000_000
+# One long per row: 8 MB raw per million, and a few times that as a hash table on each executor.
+MAX_BROADCAST_KEYS = 2_000_000
 
 
-def bounded_keys(df: DataFrame, key: str, limit: int = MAX_BROADCAST_KEYS) -> DataFrame | None:
-    """The distinct keys as a broadcast frame, or None when there are more than ``limit``.
+def fits_broadcast(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:
+    """Count the rows, one distributed aggregate, before they may be broadcast."""
+    return keys.count() <= limit
 
-    The keys are counted first (one distributed aggregate), so what is broadcast has a known size.
-    """
+
+def bounded_keys(df: DataFrame, key: str, limit: int = MAX_BROADCAST_KEYS) -> DataFrame | None:
+    """The distinct keys as a broadcast frame, or None when there are more than ``limit``."""
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return F.broadcast(keys) if keys.count() <= limit else None
+    return F.broadcast(keys) if fits_broadcast(keys, limit) else None
 
 
 def only_keys(df: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:

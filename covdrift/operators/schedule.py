@@ -12,11 +12,11 @@ from covdrift.functions.predicates import map_code, within
 from covdrift.operators.latest import latest_per
 
 
-def next_appointment(
+def open_appointments(
     schedule: DataFrame, as_of: date, horizon_days: int, procedure_drugs: Mapping[int, str]
 ) -> DataFrame:
-    """Each patient's next open appointment per drug procedure within the horizon."""
-    rows = schedule.where(
+    """Appointments for a drug procedure within the horizon that were not canceled."""
+    return schedule.where(
         within(F.col("schedule_date"), as_of, horizon_days)
         & F.col("procedure_id").isin(*procedure_drugs)
         & F.col("forwhom_id").isNotNull()
@@ -33,7 +33,11 @@ def next_appointment(
         F.col("status").alias("schedule_status"),
         "schedule_note",
     )
+
+
+def next_appointment(appointments: DataFrame) -> DataFrame:
+    """Each patient's soonest of the open appointments, per procedure."""
     soonest = [F.col(c).asc_nulls_first() for c in ("schedule_date", "schedule_time")]
     return latest_per(
-        rows, ["patient_id", "procedure_id"], [*soonest, F.col("schedule_tran_id").asc()]
+        appointments, ["patient_id", "procedure_id"], [*soonest, F.col("schedule_tran_id").asc()]
     )

@@ -13,7 +13,7 @@ from covdrift.operators.coverage import current_primary, primary_at_dispense
 from covdrift.operators.drift import NO_ALERT, drift
 from covdrift.operators.enrich import plan_lookup, prefixed, with_office, with_patient, with_plan
 from covdrift.operators.narrow import bounded_keys, only_keys
-from covdrift.operators.schedule import next_appointment
+from covdrift.operators.schedule import next_appointment, open_appointments
 from covdrift.params import Params
 
 REPORT_COLUMNS = [
@@ -89,7 +89,7 @@ def assemble(
 
 def appointment_outcomes(tables: Mapping[str, DataFrame], params: Params) -> DataFrame:
     """Every upcoming appointment with its one outcome, ``NO ALERT`` included."""
-    appointments = next_appointment(
+    appointments = open_appointments(
         tables["schedule_detail"], params.as_of, params.horizon_days, params.procedure_drugs
     )
     # Only patients with an appointment matter: keep the others out of the big shuffles.
@@ -100,7 +100,7 @@ def appointment_outcomes(tables: Mapping[str, DataFrame], params: Params) -> Dat
     dispenses = last_dispense(charges, ["patient_id", "biologic_drug"])
     insurance = only_keys(tables["patient_insurance"], "patient_id", patients)
     base = assemble(
-        appointments,
+        next_appointment(appointments),
         dispenses,
         current_primary(insurance, params.as_of),
         primary_at_dispense(

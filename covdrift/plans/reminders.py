@@ -21,6 +21,7 @@ from covdrift.operators.coverage import (
     change_after_dispense,
     current_primary,
     recent_primary_change,
+    recent_primary_edits,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_patient, with_plan
 from covdrift.operators.ids import assign_ids, materialised, max_id
@@ -75,13 +76,13 @@ def reminder_candidates(
 ) -> DataFrame:
     """Patients due a reminder, one row each, in no order. ``extra`` restricts them further."""
     insurance = tables["patient_insurance"]
-    changes = recent_primary_change(insurance, params.as_of_ts, params.change_lookback_days)
+    edits = recent_primary_edits(insurance, params.as_of_ts, params.change_lookback_days)
     # Only patients with a recent change matter: keep the others out of the big shuffles.
-    changed_patients = bounded_keys(changes, "patient_id")
+    changed_patients = bounded_keys(edits, "patient_id")
     charges = dispense_charges(
         tables, params.rules, params.as_of, params.dispense_lookback_days, changed_patients
     )
-    changed = changes.select(
+    changed = recent_primary_change(edits).select(
         "patient_id",
         "insurance_change_ts",
         "start_date",
@@ -146,9 +147,9 @@ def attributed_changes(
     patients = batch.select(F.col("forwhom_id").alias("patient_id"))
     insurance = tables["patient_insurance"].join(patients.distinct(), "patient_id", "left_semi")
     days, minutes = params.change_lookback_days, params.audit_minutes
-    changes = recent_primary_change(insurance, params.as_of_ts, days).withColumnRenamed(
-        "sr_id", "insurance_sr_id"
-    )
+    changes = recent_primary_change(
+        recent_primary_edits(insurance, params.as_of_ts, days)
+    ).withColumnRenamed("sr_id", "insurance_sr_id")
     edits = logged_since(tables["edit_log_header"], "modified_date", params.as_of_ts, days, minutes)
     trail = logged_since(tables["audit_trail"], "tran_date", params.as_of_ts, days, minutes)
     users, chars = params.system_users, params.audit_text_chars

@@ -9,6 +9,7 @@ from covdrift.operators.coverage import (
     current_primary,
     primary_at_dispense,
     recent_primary_change,
+    recent_primary_edits,
 )
 from tests.conftest import NOW, TODAY, tuples
 
@@ -109,12 +110,13 @@ def test_recent_change_bounds(make):
         {**_row(1, priority="S", changed_date=NOW), "patient_id": 5},
         {**_row(1), "patient_id": 6},
     )
-    found = recent_primary_change(rows, NOW, 3)
+    found = recent_primary_change(recent_primary_edits(rows, NOW, 3))
     assert tuples(found, "patient_id", "insurance_change_ts") == [(1, bound), (3, bound)]
 
 
 def _change(make, *rows):
-    return recent_primary_change(make("patient_insurance", *rows), NOW, 3)
+    edits = recent_primary_edits(make("patient_insurance", *rows), NOW, 3)
+    return recent_primary_change(edits)
 
 
 @pytest.mark.parametrize(

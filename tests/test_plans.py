@@ -16,9 +16,10 @@ from covdrift.operators.coverage import (
     current_primary,
     primary_at_dispense,
     recent_primary_change,
+    recent_primary_edits,
 )
 from covdrift.operators.narrow import bounded_keys
-from covdrift.operators.schedule import next_appointment
+from covdrift.operators.schedule import open_appointments
 from covdrift.schemas import SCHEMAS
 from covdrift.sources.tables import load_tables
 from tests.conftest import NOW, TODAY
@@ -76,12 +77,13 @@ def test_filters_reach_the_scans(stored, params):
     assert "LessThanOrEqual(start_date,2024-01-16)" in current
     assert "GreaterThanOrEqual(end_date,2024-01-16)" in current
 
-    recent = _pushed(recent_primary_change(stored["patient_insurance"], NOW, 3))
+    edits = recent_primary_edits(stored["patient_insurance"], NOW, 3)
+    recent = _pushed(recent_primary_change(edits))
     assert "GreaterThanOrEqual(changed_date,2024-01-13T12:00)" in recent
     assert "GreaterThanOrEqual(created_date,2024-01-13T12:00)" in recent
 
     visits = _pushed(
-        next_appointment(stored["schedule_detail"], TODAY, 14, params.procedure_drugs)
+        open_appointments(stored["schedule_detail"], TODAY, 14, params.procedure_drugs)
     )
     assert "GreaterThanOrEqual(schedule_date,2024-01-16)" in visits
     assert "LessThanOrEqual(schedule_date,2024-01-30)" in visits
@@ -212,5 +214,6 @@ def test_times_do_not_depend_on_the_session_zone(spark, make):
         {"patient_id": 2, "sr_id": 1, "priority": "P", "changed_date": bound - timedelta(minutes=1)},
     )
     with settings(spark, spark__sql__session__timeZone="America/New_York"):
-        found = recent_primary_change(rows, bound + timedelta(days=3), 3).collect()
+        edits = recent_primary_edits(rows, bound + timedelta(days=3), 3)
+        found = recent_primary_change(edits).collect()
     assert [(r.patient_id, r.insurance_change_ts) for r in found] == [(1, bound)]

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from covdrift.operators.schedule import next_appointment
+from covdrift.operators.schedule import next_appointment, open_appointments
 from tests.conftest import TODAY, tuples
 
 
@@ -21,7 +21,9 @@ def _visit(tran, **values):
 
 def _next(make, params, *rows):
     return next_appointment(
-        make("schedule_detail", *rows), TODAY, params.horizon_days, params.procedure_drugs
+        open_appointments(
+            make("schedule_detail", *rows), TODAY, params.horizon_days, params.procedure_drugs
+        )
     )
 
 
