@@ -24,23 +24,24 @@ def _micros(ts: str) -> str:
     return f"cast({seconds} * {SECOND} as bigint)"
 
 
-def _edge(ts: str, minutes: int) -> str:
-    return f"({_micros(ts)} + {window_width(minutes) // 2})"
-
-
 def _floor(value: str, width: int) -> str:
     return f"({value} - pmod({value}, {width}))"
 
 
+def upper_edge(ts: str, minutes: int) -> Column:
+    """Upper time edge of the search around ``ts``, in microseconds."""
+    return F.expr(f"{_micros(ts)} + {window_width(minutes) // 2}")
+
+
 def entry_bin(ts: str, minutes: int) -> Column:
     """The bin of a log entry: bins are as long as the search window."""
     return F.expr(_floor(_micros(ts), window_width(minutes)))
 
 
-def searched_bins(ts: str, minutes: int) -> Column:
-    """The two bins that the window around a change can touch."""
+def searched_bins(edge: str, minutes: int) -> Column:
+    """The two bins that the window below ``edge`` can touch."""
     width = window_width(minutes)
-    last = _floor(_edge(ts, minutes), width)
+    last = _floor(edge, width)
     return F.expr(f"array({last} - {width}, {last})")
 
 
@@ -58,9 +59,10 @@ def _carry_forward(rows: DataFrame, group: str) -> DataFrame:
 def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFrame:
     """Newest entry within ``minutes`` of each probe, both ends included, on equal ``match_key``.
 
-    ``probes`` has (match_key, probe_ts) and ``entries`` (match_key, audit_ts, audit_user). The
-    result has (match_key, probe_ts, audit_ts, audit_user), one row per distinct probe that has an
-    entry; entries of one moment resolve to the highest user.
+    ``probes`` has (match_key, edge), where ``edge`` is the ``upper_edge`` of the probe's time, and
+    ``entries`` has (match_key, audit_ts, audit_user). The result has (match_key, edge, audit_ts,
+    audit_user), one row per distinct probe that has an entry; entries of one moment resolve to
+    the highest user.
 
     The search runs in two sorted passes. The first works on one entry per second and finds the
     newest one before the probe's own second; the second adds the entries of that second. Equal
@@ -73,6 +75,8 @@ def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFr
     moments = (
         entries.groupBy("match_key", "audit_ts")
         .agg(F.max("audit_user").alias("audit_user"))
+        # Every use of the moments reads the user through this, so all share one shuffle.
+        .where("audit_user is not null")
         .selectExpr(
             "match_key",
             f"{_micros('audit_ts')} as at",
@@ -80,11 +84,17 @@ def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFr
         )
         .selectExpr("*", f"{_floor('at', SECOND)} as second")
     )
+    # Most keys asked for are in no log: keep only probes with an entry in one of their two bins.
+    present = moments.selectExpr(
+        f"xxhash64(match_key, {_floor('second', width)}) as key_hash"
+    ).distinct()
     sought = (
-        probes.select("match_key", "probe_ts")
+        probes.select("match_key", "edge", F.explode(searched_bins("edge", minutes)).alias("bin"))
+        .selectExpr("match_key", "edge", "xxhash64(match_key, bin) as key_hash")
+        .join(present, "key_hash", "left_semi")
+        .select("match_key", "edge")
         .distinct()
-        .selectExpr("*", f"{_edge('probe_ts', minutes)} as at")
-        .selectExpr("*", f"{_floor('at', SECOND)} as second")
+        .selectExpr("match_key", "edge as at", f"{_floor('edge', SECOND)} as second")
     )
 
     # Pass 1: per-second maxima, each also standing at the start of the next bin.
@@ -104,15 +114,12 @@ def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFr
     earlier = _carry_forward(carried.unionByName(looking), "bin")
 
     # Pass 2: the probe's own second, with the result of pass 1 standing before it.
-    no_probe = "cast(null as timestamp_ntz) as probe_ts"
-    columns = ["match_key", "at", "false as is_probe", "entry", no_probe]
+    columns = ["match_key", "at", "false as is_probe", "entry"]
     candidates = earlier.selectExpr("at + 1 as second", *columns).unionByName(
         moments.selectExpr("second", *columns)
     )
-    looking = sought.selectExpr(
-        "second", "match_key", "at", "true as is_probe", no_entry, "probe_ts"
-    )
+    looking = sought.selectExpr("second", "match_key", "at", "true as is_probe", no_entry)
     found = _carry_forward(candidates.unionByName(looking), "second")
-    return found.where(f"{_micros('entry.audit_ts')} >= at - {width}").select(
-        "match_key", "probe_ts", "entry.*"
+    return found.where(f"{_micros('entry.audit_ts')} >= at - {width}").selectExpr(
+        "match_key", "at as edge", "entry.audit_ts", "entry.audit_user"
     )

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from covdrift.functions.predicates import is_person, wall_clock
-from covdrift.operators.asof import entry_bin, newest_within, searched_bins
+from covdrift.operators.asof import entry_bin, newest_within, searched_bins, upper_edge
 from covdrift.operators.latest import latest_per
 from covdrift.operators.narrow import fits_broadcast
 
@@ -121,9 +121,11 @@ def _match_key(log: str) -> Column:
     return F.concat_ws(":", F.lit(log), "piece.kind", "value")
 
 
-def _sought(changes: DataFrame, sources: Sequence[LogSource]) -> DataFrame:
+def _sought(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> DataFrame:
     """Every key each change looks for, with the value's length when it is sought inside texts."""
-    known = changes.dropna(subset=[*CHANGE_KEY, "insurance_change_ts"])
+    known = changes.dropna(subset=[*CHANGE_KEY, "insurance_change_ts"]).withColumn(
+        "edge", upper_edge("insurance_change_ts", minutes)
+    )
 
     def of(source: LogSource) -> DataFrame:
         # A blank number matches nothing.
@@ -135,23 +137,18 @@ def _sought(changes: DataFrame, sources: Sequence[LogSource]) -> DataFrame:
             known.select(
                 *CHANGE_KEY,
                 F.lit(source.name).alias("log"),
-                F.col("insurance_change_ts").alias("probe_ts"),
+                "edge",
                 F.explode(F.array_distinct(F.array(*pieces))).alias("piece"),
             )
             .where(F.col("piece").isNotNull())
             .withColumn("value", F.col("piece.value"))
             .withColumn("match_key", _match_key(source.name))
-            .select(*CHANGE_KEY, "log", "probe_ts", "match_key", "piece.length")
+            .select(*CHANGE_KEY, "log", "edge", "match_key", "piece.length")
         )
 
     return reduce(DataFrame.unionByName, map(of, sources))
 
 
-def _searched_bins(sought: DataFrame, minutes: int) -> DataFrame:
-    """``sought`` with every bin it has to be searched in."""
-    return sought.withColumn("bin", F.explode(searched_bins("probe_ts", minutes)))
-
-
 def _near(source: LogSource, bins: DataFrame, minutes: int) -> DataFrame:
     """Log rows whose bin some change searches, with the lengths of the texts sought there."""
     own = bins.where(F.col("log") == source.name).drop("log")
@@ -189,8 +186,8 @@ def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -
     While the keys asked for stay under the broadcast bound, log text and substrings are filtered
     where they are read and never shuffled; beyond it the same joins run as shuffle joins.
     """
-    sought = _sought(changes, sources)
-    searched = _searched_bins(sought, minutes)
+    sought = _sought(changes, sources, minutes)
+    searched = sought.withColumn("bin", F.explode(searched_bins("edge", minutes)))
     key_hash = F.xxhash64("match_key", "bin").alias("key_hash")
     # A pre-filter: keys are compared in full below, so two that share a hash do no harm.
     asked = searched.select(key_hash).distinct()
@@ -204,7 +201,7 @@ def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -
     wanted = entries.withColumn("key_hash", key_hash).join(asked, "key_hash", "left_semi")
     found = newest_within(sought, wanted, minutes)
     newest = (
-        sought.join(found, ["match_key", "probe_ts"])
+        sought.join(found, ["match_key", "edge"])
         .groupBy(*CHANGE_KEY, "log")
         .agg(F.max(F.struct("audit_ts", "audit_user")).alias("entry"))
     )
