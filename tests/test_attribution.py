@@ -240,3 +240,47 @@ def test_equals_brute_force(make, changes, seed):
     assert {
         r.insurance_sr_id: (r.audit_ts, r.audit_user) for r in found.collect()
     } == expected
+
+
+def test_everything_in_one_window(spark, make):
+    """20,000 changes and 20,000 log rows within five minutes: pairing them would be 400 million."""
+    moment = "timestamp_ntz'2024-01-16 10:00:00' + make_dt_interval(0, 0, 0, id / 100)"
+    rows = spark.range(0, 20_000, 1, 4)
+    change = rows.selectExpr(
+        "id as patient_id",
+        "id as insurance_sr_id",
+        "'MEM' as membership_id",
+        "cast(null as string) as insurance_no",
+        f"{moment} as insurance_change_ts",
+    )
+    trail = rows.selectExpr(
+        "concat('u', id) as user_name",
+        f"{moment} as tran_date",
+        "if(id % 2 = 0, 'update patient_insurance set MEM', 'MEM') as sql_syntax",
+    )
+    edits = rows.selectExpr(
+        *[f"cast(null as string) as {c}" for c in ("PK_1", "PK_2", "pk_3", "new_values")],
+        "'x MEM x' as old_values",
+        "cast(null as string) as column_detail",
+        "concat('e', id) as modified_by",
+        f"{moment} as modified_date",
+    ).where("id < 15000")
+    sources = [edit_log_source(edits, SYSTEM_USERS), audit_trail_source(trail, SYSTEM_USERS)]
+    found = match_logs(change, sources, 10).groupBy("log", "audit_user").count()
+    assert tuples(found, "log", "audit_user", "count") == [
+        ("audit_trail", "u19999", 20_000),
+        ("edit_log", "e14999", 20_000),
+    ]
+
+
+def test_same_rows_when_keys_are_too_many_to_broadcast(make, changes, monkeypatch):
+    change = changes({"membership_id": "MEM1"}, {"patient_id": 8, "membership_id": "X9"})
+    sources = [
+        _edit(make, {"PK_1": "7"}, {"new_values": "aX9b", "modified_by": "bea"}),
+        _trail(make, {"sql_syntax": "MEM1"}),
+    ]
+    columns = ("patient_id", "log", "audit_user", "audit_ts")
+    broadcast = tuples(match_logs(change, sources, 10), *columns)
+    assert len(broadcast) == 3
+    monkeypatch.setattr("covdrift.operators.attribution.fits_broadcast", lambda keys: False)
+    assert tuples(match_logs(change, sources, 10), *columns) == broadcast
