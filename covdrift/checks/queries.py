@@ -46,10 +46,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def query(build: Callable[[TestTables], DataFrame]) -> Callable[[TestTables], DataFrame]:
-    """Register ``build`` under its own name."""
-    REGISTRY[build.__name__] = lambda spark, folder: build(TestTables(spark, folder))
-    return build
+def query(name: str) -> Callable[[Callable[[TestTables], DataFrame]], None]:
+    """Register a query over the test tables under ``name``."""
+
+    def register(build: Callable[[TestTables], DataFrame]) -> None:
+        REGISTRY[name] = lambda spark, folder: build(TestTables(spark, folder))
+
+    return register
 
 
 def _charges(t: TestTables, days: int) -> DataFrame:
@@ -97,50 +100,50 @@ def _flat(outbox: DataFrame) -> DataFrame:
     return outbox.withColumn("employees", F.array_join("employees", "; "))
 
 
-@query
-def classify_dispense(t):
+@query("classify_dispense")
+def _classify_dispense(t):
     return classify(t["billing_master"], "billing_id", "descr", TEST_RULES)
 
 
-@query
-def charges_all(t):
+@query("charges_all")
+def _charges_all(t):
     return _charges(t, 36_500)
 
 
-@query
-def dispense_charges_recent(t):
+@query("dispense_charges")
+def _dispense_charges_recent(t):
     return _charges(t, P.report_lookback_days)
 
 
-@query
-def last_dispense_by_drug(t):
+@query("last_dispense_by_drug")
+def _last_dispense_by_drug(t):
     return _last_by_drug(t)
 
 
-@query
-def last_dispense_by_patient(t):
+@query("last_dispense")
+def _last_dispense_by_patient(t):
     return _last(t)
 
 
-@query
-def current_primary_coverage(t):
+@query("current_primary")
+def _current_primary_coverage(t):
     return current_primary(t["patient_insurance"], AS_OF)
 
 
-@query
-def primary_coverage_at_dispense(t):
+@query("primary_at_dispense")
+def _primary_coverage_at_dispense(t):
     return primary_at_dispense(_last_by_drug(t), t["patient_insurance"]).drop(
         "dispense_date", "priority", "active"
     )
 
 
-@query
-def recent_coverage_change(t):
+@query("recent_primary_change")
+def _recent_coverage_change(t):
     return _recent(t)
 
 
-@query
-def change_after_last_dispense(t):
+@query("change_after_dispense")
+def _change_after_last_dispense(t):
     found = change_after_dispense(_last(t), _recent(t))
     return found.select(
         "patient_id",
@@ -154,16 +157,16 @@ def change_after_last_dispense(t):
     )
 
 
-@query
-def next_appointments(t):
+@query("next_appointment")
+def _next_appointments(t):
     appointments = open_appointments(
         t["schedule_detail"], AS_OF, P.horizon_days, P.procedure_drugs
     )
     return next_appointment(appointments).drop("schedule_patient_name", "schedule_note")
 
 
-@query
-def enrich_plan_carrier(t):
+@query("enrich_plan_carrier")
+def _enrich_plan_carrier(t):
     plans = plan_lookup(t["insurance_plan_master"], t["insurance_carrier_master"])
     rows = prefixed(
         t["patient_insurance"], "current", ["insurance_id"], ["patient_id", "sr_id"]
@@ -171,146 +174,146 @@ def enrich_plan_carrier(t):
     return with_plan(rows, plans, "current")
 
 
-@query
-def appointment_outcomes(t):
+@query("appointment_outcomes")
+def _appointment_outcomes(t):
     outcomes = report.appointment_outcomes(t, P)
     return outcomes.select(
         "schedule_tran_id", "patient_id", "biologic_drug", "alert_reason", "alert_priority"
     )
 
 
-@query
-def alert_report(t):
+@query("alert_report")
+def _alert_report(t):
     return report.alert_report(t, P)
 
 
-@query
-def alert_summary(t):
+@query("alert_summary")
+def _alert_summary(t):
     return report.alert_summary(report.appointment_outcomes(t, P))
 
 
-@query
-def alert_report_rows(t):
+@query("report_metrics")
+def _alert_report_rows(t):
     return report_metrics(report.alert_report(t, P))
 
 
-@query
-def alert_texts(t):
+@query("alert_text")
+def _alert_texts(t):
     return alert_text(report.alert_report(t, P))
 
 
-@query
-def suppress_open_reminders(t):
+@query("suppress_open")
+def _suppress_open_reminders(t):
     return suppress_open(_last(t), t["todo"], MARKER).select(
         "patient_id", "biologic_drug", "dispense_date", "dispense_tran_id"
     )
 
 
-@query
-def reminder_candidates(t):
+@query("reminder_candidates")
+def _reminder_candidates(t):
     return reminders.reminder_candidates(t, P)
 
 
-@query
-def todo_rows(t):
+@query("todo_rows")
+def _todo_rows(t):
     return reminders.new_reminders(
         reminders.reminder_candidates(t, P), t["todo"], P
     ).drop("iteration")
 
 
-@query
-def assign_dispense_ids(t):
+@query("assign_ids")
+def _assign_dispense_ids(t):
     rows = _last(t).select("patient_id", "biologic_drug")
     return assign_ids(rows, max_id(t["todo"]), "patient_id", "new_id")
 
 
-@query
-def missing_detail_rows(t):
+@query("missing_details")
+def _missing_detail_rows(t):
     return missing_details(t["todo"], t["tobe_done_detail"], MARKER).select(
         "tran_id", "forwhom_id", "todo_date"
     )
 
 
-@query
-def detail_backfill(t):
+@query("detail_backfill")
+def _detail_backfill(t):
     return reminders.new_details(t["todo"], t["tobe_done_detail"], P).drop(
         "createdby_id", "changedby_id"
     )
 
 
-@query
-def open_reminder_count(t):
+@query("open_count")
+def _open_reminder_count(t):
     return open_count(t["todo"], MARKER)
 
 
-@query
-def highest_ids(t):
+@query("max_id")
+def _highest_ids(t):
     return max_id(t["todo"]).unionByName(max_id(t["tobe_done_detail"]))
 
 
-@query
-def edit_log_match(t):
+@query("match_edit_log")
+def _edit_log_match(t):
     return match_logs(t["insurance_change"], _sources(t)[:1], P.audit_minutes).drop("log")
 
 
-@query
-def audit_trail_match(t):
+@query("match_audit_trail")
+def _audit_trail_match(t):
     return match_logs(t["insurance_change"], _sources(t)[1:], P.audit_minutes).drop("log")
 
 
-@query
-def audit_union(t):
+@query("audit_union")
+def _audit_union(t):
     return match_logs(t["insurance_change"], _sources(t), P.audit_minutes)
 
 
-@query
-def audit_attribution(t):
+@query("audit_attribution")
+def _audit_attribution(t):
     return _attributed(t)
 
 
-@query
-def resolve_audit_user(t):
+@query("resolve_user")
+def _resolve_audit_user(t):
     return _resolved(t)
 
 
-@query
-def patient_alert_numbers(t):
+@query("patient_alerts")
+def _patient_alert_numbers(t):
     return patient_alerts(_rows(t), t["patient_master"])
 
 
-@query
-def user_alert_rows(t):
+@query("user_alerts")
+def _user_alert_rows(t):
     return user_alerts(_resolved(t), t["patient_master"])
 
 
-@query
-def unattributed_reminders(t):
+@query("unattributed")
+def _unattributed_reminders(t):
     return unattributed(_rows(t), _resolved(t))
 
 
-@query
-def outbox_user_numbers(t):
+@query("outbox_user")
+def _outbox_user_numbers(t):
     return _numbers(t).withColumn("numbers", F.array_join("numbers", "; "))
 
 
-@query
-def outbox_capped(t):
+@query("outbox_capped")
+def _outbox_capped(t):
     return capped_numbers(_numbers(t))
 
 
-@query
-def outbox_user(t):
+@query("user_outbox")
+def _outbox_user(t):
     return _flat(user_outbox(_numbers(t), P))
 
 
-@query
-def outbox_staff(t):
+@query("staff_outbox")
+def _outbox_staff(t):
     rows = _rows(t)
     return _flat(staff_outbox(patient_alerts(rows, t["patient_master"]), rows, P))
 
 
-@query
-def dispense_snapshot(t):
+@query("coverage_snapshot")
+def _dispense_snapshot(t):
     by_drug = _last_by_drug(t)
     return coverage_snapshot(by_drug, primary_at_dispense(by_drug, t["patient_insurance"])).select(
         "patient_id",
@@ -322,8 +325,8 @@ def dispense_snapshot(t):
     )
 
 
-@query
-def snapshot_changes(t):
+@query("snapshot_drift")
+def _snapshot_changes(t):
     by_drug = _last_by_drug(t)
     snapshots = coverage_snapshot(by_drug, primary_at_dispense(by_drug, t["patient_insurance"]))
     return snapshot_drift(snapshots, current_primary(t["patient_insurance"], AS_OF))

@@ -9,20 +9,30 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from covdrift.sources.adapter import SOURCES
+from covdrift.checks.oracle import with_steps
+from covdrift.operators.charges import dispense_charges, last_dispense
+from covdrift.plans.reminders import attributed_changes
+from covdrift.sources.adapter import AS_OF, SOURCES, TEST_PARAMS, TEST_RULES, TestTables
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = contract.oracle_sql()
 
 
-@pytest.fixture(scope="module")
-def duck():
+LARGEST = "/root/testdata/sf0.1"
+
+
+def _connect(folder):
     db = duckdb.connect()
     for table in SOURCES:
-        db.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+        db.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     return db
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return _connect(SF)
+
+
 def _normal(rows, columns):
     def value(v):
         return v.isoformat() if isinstance(v, (date, datetime)) else v
@@ -46,5 +56,18 @@ def test_query_equals_sql(spark, duck, name):
     assert _normal([tuple(r) for r in found.collect()], found.columns) == expected
 
 
+def test_attribution_of_real_changes(spark):
+    """The whole chain from coverage rows to employees; smaller tables hold no match."""
+    tables = TestTables(spark, LARGEST)
+    charges = dispense_charges(tables, TEST_RULES, AS_OF, TEST_PARAMS.dispense_lookback_days)
+    batch = last_dispense(charges, ["patient_id"]).selectExpr("patient_id as forwhom_id")
+    found = attributed_changes(batch, tables, TEST_PARAMS)
+    cursor = _connect(LARGEST).execute(with_steps("SELECT * FROM resolved_recent"))
+    columns = [c[0] for c in cursor.description]
+    expected = _normal(cursor.fetchall(), columns)
+    assert len(expected) == 69
+    assert _normal([tuple(r) for r in found.collect()], found.columns) == expected
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 33
