@@ -23,7 +23,7 @@ from covdrift.operators.coverage import (
     recent_primary_edits,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_plan
-from covdrift.operators.ids import assign_ids, max_id
+from covdrift.operators.ids import assign_ids, materialised, max_id
 from covdrift.operators.outbox import capped_numbers, staff_outbox, user_numbers, user_outbox
 from covdrift.operators.reminders import (
     missing_details,
@@ -84,7 +84,8 @@ def _attributed(t: TestTables) -> DataFrame:
 
 
 def _resolved(t: TestTables) -> DataFrame:
-    return resolve_user(_attributed(t), t["emp_master"])
+    # Read twice by the lookup, and again by the alerts: written once instead of planned again.
+    return resolve_user(materialised(_attributed(t)), t["emp_master"])
 
 
 def _numbers(t: TestTables) -> DataFrame:

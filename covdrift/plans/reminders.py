@@ -154,8 +154,8 @@ def attributed_changes(
     trail = logged_since(tables["audit_trail"], "tran_date", params.as_of_ts, days, minutes)
     users, chars = params.system_users, params.audit_text_chars
     sources = [edit_log_source(edits, users, chars), audit_trail_source(trail, users, chars)]
-    # The changes are few and read several times.
-    audited = attribute(materialised(changes), sources, minutes)
+    # Changes and their authors are few and read several times.
+    audited = materialised(attribute(materialised(changes), sources, minutes))
     return resolve_user(audited, tables["emp_master"])
 
 
