@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from covdrift.llm.mixing import mix, mixed, pivotal, targets
+from tests.llm.helpers import docs, odd_texts, words
+
+
+def brute_targets(sizes, weights=(5, 2, 1)):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(3 * sizes[s] for s in capped)
+        free = sum(weight[s] for s in names if s not in capped)
+        share = {s: left * weight[s] / free for s in names if s not in capped}
+        over = {s for s, x in share.items() if x > 3 * sizes[s]}
+        if not over:
+            return {s: 3.0 * sizes[s] if s in capped else share[s] for s in names}
+        capped |= over
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_targets(spark, seed):
+    rng = random.Random(seed)
+    sizes = {s: rng.choice([0, 1, 10, 500, 90_000]) for s in ["b", "a", "é", "Z", None, "c", "d"]}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in targets(frame).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys()
+    for s in want:
+        assert got[s] == pytest.approx(want[s], rel=1e-12)
+
+
+def test_pivotal_keeps_words_and_chances():
+    rng = random.Random(1)
+    sizes = [rng.randrange(1, 400) for _ in range(60)]
+    total, ups = 0.3 * sum(sizes), [0] * 60
+    for seed in range(400):
+        done, held = pivotal([(i, str(i), s, 0.3) for i, s in enumerate(sizes)], 0, seed)
+        words = sum(sizes[i] * v for i, v in done) + (sizes[held[0]] * held[3] if held else 0)
+        assert words == pytest.approx(total) and len(done) + (held is not None) == 60
+        for i, v in done:
+            ups[i] += v
+        if held:
+            ups[held[0]] += held[3]
+    assert max(abs(u / 400 - 0.3) for u in ups) < 0.12
+
+
+def test_mix_meets_targets_and_reruns_agree(spark):
+    rng = random.Random(8)
+    texts = [words(rng, rng.randrange(1, 120)) for _ in range(3000)] + odd_texts()
+    sources = [rng.choice(["hot"] * 8 + ["a", "b", "c", None]) for _ in texts]
+    frame = docs(spark, texts, sources)
+    rows = mix(frame.coalesce(3)).collect()
+    assert len(rows) == len(texts)
+    again = {(r.doc_id, r.copies) for r in mix(frame.repartition(7)).collect()}
+    assert again == {(r.doc_id, r.copies) for r in rows}
+    sizes, taken, target, most = {}, {}, {}, {}
+    for r in rows:
+        assert r.size == len((texts[r.doc_id] or "").encode().split())
+        assert r.source == sources[r.doc_id] and 0 <= r.copies <= 3
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.copies * r.size
+        target[r.source] = r.target
+        most[r.source] = max(most.get(r.source, 0), r.size)
+    want = brute_targets(sizes)
+    for s in sizes:
+        assert target[s] == pytest.approx(want[s])
+        assert abs(taken[s] - target[s]) <= most[s]
+    repeated = mixed(frame.coalesce(3))
+    assert repeated.columns == frame.columns
+    assert repeated.count() == sum(r.copies for r in rows)
+
+
+def test_empty_sizes(spark):
+    assert mix(docs(spark, [])).count() == 0
+    rows = mix(docs(spark, [None, "", "a b"], ["x", "x", "y"], ids=[1, 1, None])).collect()
+    assert sorted((r.size, r.copies, r.target) for r in rows) == [(0, 0, 0.0), (0, 0, 0.0), (2, 1, 2.0)]

@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import random
+import struct
+from collections import defaultdict
+
+import pytest
+
+from covdrift.llm.packing import ChunkEncoder, pack
+from covdrift.llm.queries import tokenizer_path
+from tests.llm.helpers import docs, odd_texts, words
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def whole(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Hello, WORLD's it's 'll x", "É è ñ ü ß Σας İstanbul ı ſ", "a\x1cb\x1f c", "a\u0085b c d",
+        "<|endoftext|> a<|startoftext|>b", "é ́x", "数字123 漢字", "a  b\r\n\tc", "😀😀 ok", "12.5% $5 it'S",
+        "​ zero​width", "DŽ ǅ ﬁ Ω K",
+    ],
+)
+def test_chunks_give_the_ids_of_the_whole_text(tokenizer, text):
+    encode = ChunkEncoder(tokenizer_path())
+    ids = encode(text)
+    assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == whole(tokenizer, text)[:-1]
+
+
+def check(rows, texts, tokenizer, window):
+    """Round trip: every id in exactly one piece, sequences gapless and no longer than the window."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    assert set(by_doc) == set(range(len(texts)))
+    for doc, pieces in by_doc.items():
+        pieces.sort(key=lambda r: r.start)
+        ids = b"".join(bytes(p.ids) for p in pieces)
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == whole(tokenizer, texts[doc])
+        at = 0
+        for p in pieces:
+            assert p.start == at and p.length == len(p.ids) // 4 > 0 and p.doc_tokens == len(ids) // 4
+            at += p.length
+    fills = []
+    for pieces in by_sequence.values():
+        pieces.sort(key=lambda r: r.offset)
+        at = 0
+        for p in pieces:
+            assert p.offset == at
+            at += p.length
+        assert at <= window
+        fills.append(at)
+    return fills
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_round_trip_with_little_padding(spark, tokenizer, parts):
+    rng = random.Random(5)
+    texts = [words(rng, rng.choice([3, 40, 300, 900])) for _ in range(300)] + odd_texts()
+    frame = docs(spark, texts).repartition(parts)
+    fills = check(pack(frame, tokenizer_path(), window=256, open_windows=8, max_gap=4).collect(), texts, tokenizer, 256)
+    assert sum(256 - f for f in fills[:]) <= 4 * len(fills) + 256
+
+
+def test_empty_table_and_null_ids(spark, tokenizer):
+    assert pack(docs(spark, []), tokenizer_path()).count() == 0
+    rows = pack(docs(spark, ["a", "a"], ids=[None, None]), tokenizer_path()).collect()
+    assert [r.doc_id for r in rows] == [None, None] and sorted(r.offset for r in rows) == [0, 2]
