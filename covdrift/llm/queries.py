@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covdrift.llm import line_dedup, mixing, packing, quality_rules, simhash
+from covdrift.llm import (
+    embedding_dedup,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    weak_labels,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,11 +47,38 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "measures.*", "base_failed", "kept")
 
 
+def op3_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and verdict of each document."""
+    return weak_labels.classify(_table(spark, folder, "documents")).select("doc_id", "score", "kept")
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Class, links and fate of each line."""
     return line_dedup.line_classes(_table(spark, folder, "documents")).drop("row")
 
 
+def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of each document; row counts are at most one apart."""
+    cut = sharding.shard(_table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is removed of each document, and a digest of the rest."""
+    cut = suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+    n_bytes, left = F.octet_length("data").cast("long"), F.octet_length("kept")
+    return cut.select(
+        "doc_id",
+        n_bytes.alias("n_bytes"),
+        (n_bytes - left).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words the mix takes of each document."""
     chosen = mixing.mix(_table(spark, folder, "documents"))
@@ -49,12 +87,34 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """License labels of each document."""
+    return license_scan.labelled(license_scan.scan(_table(spark, folder, "documents")))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate class of each document."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate class and number of links of each vector."""
+    return embedding_dedup.link_classes(_table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_packing, op2_quality_rules, op4_line_dedup, op7_mixing, op9_simhash)
+    f.__name__: f
+    for f in (
+        op1_packing,
+        op2_quality_rules,
+        op3_weak_labels,
+        op4_line_dedup,
+        op5_sharding,
+        op6_suffix_dedup,
+        op7_mixing,
+        op8_license_scan,
+        op9_simhash,
+        op10_embedding_dedup,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}
