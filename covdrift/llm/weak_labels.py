@@ -12,8 +12,9 @@ documents, so texts on which labellers are silent or split are judged as well.
 Features of a text: the shapes of its words ("Aa," for "Then,"), and how often a word repeats one
 of the three before it, as shares of its words, hashed to ``WIDTH`` cells.
 
-Defined cases: a text without words (null, empty, blank) has score 0 and is not kept; repeated
-rows score alike; null ids are carried along; texts are read whole; other columns pass through. An
+Defined cases: a text without words (null, empty, blank) has score 0 and is not kept; one of fewer
+than ``MIN_WORDS`` words has score 0.5 and is kept, and takes no part in training; repeated rows
+score alike; null ids are carried along; texts are read whole; other columns pass through. An
 empty table, or one on which all documents look alike, gives a scorer without weights (score 0.5,
 kept).
 """
@@ -36,6 +37,8 @@ TRAIN_ROWS = 8000
 EM_ROUNDS = 100
 FIT_ROUNDS = 300
 CACHE = 200_000
+#: Fewer words are too few to judge.
+MIN_WORDS = 5
 GOOD, BAD, SILENT = 1, 0, 2
 
 
@@ -73,14 +76,17 @@ LABELLERS: dict[str, Callable[[Document], int]] = {
 def vote_patterns(
     docs: DataFrame, labellers: Mapping[str, Callable[[Document], int]] = LABELLERS, text: str = "text"
 ) -> DataFrame:
-    """(pattern, n): how many documents have each pattern of votes; texts without words have none."""
+    """(pattern, n): how many documents have each pattern of votes; shorter texts have none."""
     votes = tuple(labellers.values())
 
     @F.pandas_udf("string")
     def pattern(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             documents = map(Document, texts)
-            yield pd.Series(["".join(str(v(d)) for v in votes) if d.words else None for d in documents], dtype=object)
+            yield pd.Series(
+                ["".join(str(v(d)) for v in votes) if len(d.words) >= MIN_WORDS else None for d in documents],
+                dtype=object,
+            )
 
     return docs.select(pattern(F.col(text)).alias("pattern")).where("pattern is not null").groupBy("pattern").count()
 
@@ -168,7 +174,7 @@ def train(
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = Shapes()
         for batch in batches:
-            documents = [d for d in map(Document, batch["text"]) if d.words]
+            documents = [d for d in map(Document, batch["text"]) if len(d.words) >= MIN_WORDS]
             yield pd.DataFrame(
                 {
                     "x": [shapes(d).astype(np.float32).tobytes() for d in documents],
@@ -192,7 +198,9 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", least: float
         for texts in batches:
             out = np.zeros(len(texts))
             for i, d in enumerate(map(Document, texts)):
-                if d.words:
+                if d.words and len(d.words) < MIN_WORDS:
+                    out[i] = 0.5
+                elif d.words:
                     out[i] = 1 / (1 + np.exp(-(shapes(d) @ weights[:-1] + weights[-1])))
             yield pd.Series(out)
 
