@@ -23,8 +23,14 @@ from covdrift.operators.coverage import (
     recent_primary_edits,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_plan
-from covdrift.operators.ids import assign_ids, materialised, max_id
-from covdrift.operators.outbox import capped_numbers, staff_outbox, user_numbers, user_outbox
+from covdrift.operators.ids import assign_ids, max_id
+from covdrift.operators.outbox import (
+    capped_numbers,
+    shown_numbers,
+    staff_outbox,
+    user_numbers,
+    user_outbox,
+)
 from covdrift.operators.reminders import (
     missing_details,
     open_count,
@@ -34,6 +40,7 @@ from covdrift.operators.reminders import (
 from covdrift.operators.schedule import next_appointment, open_appointments
 from covdrift.operators.snapshot import alert_text, coverage_snapshot, snapshot_drift
 from covdrift.operators.users import patient_alerts, resolve_user, unattributed, user_alerts
+from covdrift.operators.work import staged
 from covdrift.plans import alert_report as report
 from covdrift.plans import reminders
 from covdrift.sinks.reports import report_metrics
@@ -85,12 +92,15 @@ def _attributed(t: TestTables) -> DataFrame:
 
 def _resolved(t: TestTables) -> DataFrame:
     # Read twice by the lookup, and again by the alerts: written once instead of planned again.
-    return resolve_user(materialised(_attributed(t)), t["emp_master"])
+    return resolve_user(staged(_attributed(t)), t["emp_master"])
 
 
 def _numbers(t: TestTables) -> DataFrame:
-    alerts = user_alerts(_resolved(t), t["patient_master"])
-    return user_numbers(alerts, P.messages.shown_numbers)
+    return user_numbers(user_alerts(_resolved(t), t["patient_master"]))
+
+
+def _listed(t: TestTables) -> DataFrame:
+    return shown_numbers(_numbers(t), P.messages.shown_numbers)
 
 
 def _rows(t: TestTables) -> DataFrame:
@@ -294,17 +304,17 @@ def _unattributed_reminders(t):
 
 @query("outbox_user")
 def _outbox_user_numbers(t):
-    return _numbers(t).withColumn("numbers", F.array_join("numbers", "; "))
+    return _numbers(t)
 
 
 @query("outbox_capped")
 def _outbox_capped(t):
-    return capped_numbers(_numbers(t))
+    return capped_numbers(_listed(t))
 
 
 @query("user_outbox")
 def _outbox_user(t):
-    return _flat(user_outbox(_numbers(t), P))
+    return _flat(user_outbox(_listed(t), P))
 
 
 @query("staff_outbox")

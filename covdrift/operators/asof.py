@@ -89,7 +89,9 @@ def newest_within(probes: DataFrame, entries: DataFrame, minutes: int) -> DataFr
         f"xxhash64(match_key, {_floor('second', width)}) as key_hash"
     ).distinct()
     sought = (
-        probes.select("match_key", "edge", F.explode(searched_bins("edge", minutes)).alias("bin"))
+        probes.select("match_key", "edge")
+        .distinct()
+        .select("match_key", "edge", F.explode(searched_bins("edge", minutes)).alias("bin"))
         .selectExpr("match_key", "edge", "xxhash64(match_key, bin) as key_hash")
         .join(present, "key_hash", "left_semi")
         .select("match_key", "edge")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from covdrift.functions.predicates import is_person, wall_clock
 from covdrift.operators.asof import entry_bin, newest_within, searched_bins, upper_edge
 from covdrift.operators.latest import latest_per
-from covdrift.operators.narrow import fits_broadcast
+from covdrift.operators.work import staged
 
 ID, TEXT, TABLE = "id", "text", "table"
 # Fixed value: the table name looked for in logged statements.
@@ -51,17 +51,11 @@ class LogSource:
     table_columns: Sequence[str] = ()
 
 
-def _text(name: str, chars: int | None) -> Column:
-    return F.col(name) if chars is None else F.substring(name, 1, chars)
-
-
 def _digits(name: str) -> Column:
     return F.col(name).cast("string")
 
 
-def edit_log_source(
-    edit_log: DataFrame, system_users: Sequence[str], text_chars: int | None = None
-) -> LogSource:
+def edit_log_source(edit_log: DataFrame, system_users: Sequence[str]) -> LogSource:
     """Edit log: an id of the change in a key column, or one of its numbers in a logged value."""
     texts = ["old_values", "new_values", "column_detail"]
     ids = ["PK_1", "PK_2", "pk_3"]
@@ -69,7 +63,7 @@ def edit_log_source(
         F.col("modified_by").alias("audit_user"),
         F.col("modified_date").alias("audit_ts"),
         *ids,
-        *[_text(c, text_chars).alias(c) for c in texts],
+        *texts,
     )
     sought = [
         (ID, _digits("patient_id")),
@@ -80,15 +74,13 @@ def edit_log_source(
     return LogSource("edit_log", rows, sought, id_columns=ids, text_columns=texts)
 
 
-def audit_trail_source(
-    trail: DataFrame, system_users: Sequence[str], text_chars: int | None = None
-) -> LogSource:
+def audit_trail_source(trail: DataFrame, system_users: Sequence[str]) -> LogSource:
     """Audit trail: a statement that names the coverage table, or holds a number of the change.
 
     Loose on purpose: the table name ties any edit of the table to every change near it, and a
     short patient id is found inside longer numbers.
     """
-    statement = _text("sql_syntax", text_chars)
+    statement = F.col("sql_syntax")
     rows = trail.where(is_person(F.col("user_name"), system_users)).select(
         F.col("user_name").alias("audit_user"),
         F.col("tran_date").alias("audit_ts"),
@@ -180,21 +172,20 @@ def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -
     """Newest matching entry per change row and log, over all keys.
 
     ``changes`` has (patient_id, insurance_sr_id, membership_id, insurance_no,
-    insurance_change_ts) and is read several times: hand in a small or materialised frame.
-    Entries that are not the newest of their log cannot win later and are never formed.
+    insurance_change_ts). Entries that are not the newest of their log cannot win later and are
+    never formed.
 
-    While the keys asked for stay under the broadcast bound, log text and substrings are filtered
-    where they are read and never shuffled; beyond it the same joins run as shuffle joins.
+    What is sought, the keys asked for and the bins to search are staged, each read several times.
+    The joins carry no hints: Spark broadcasts bins and keys by their size in files, so log texts
+    and substrings are filtered where they are read as long as that fits.
     """
-    sought = _sought(changes, sources, minutes)
+    sought = staged(_sought(changes, sources, minutes))
     searched = sought.withColumn("bin", F.explode(searched_bins("edge", minutes)))
     key_hash = F.xxhash64("match_key", "bin").alias("key_hash")
     # A pre-filter: keys are compared in full below, so two that share a hash do no harm.
-    asked = searched.select(key_hash).distinct()
+    asked = staged(searched.select(key_hash).distinct())
     # Each bin has a key and each length in a bin has a key, so this is bounded by ``asked``.
-    bins = searched.groupBy("log", "bin").agg(F.collect_set("length").alias("lengths"))
-    if fits_broadcast(asked):
-        asked, bins = F.broadcast(asked), F.broadcast(bins)
+    bins = staged(searched.groupBy("log", "bin").agg(F.collect_set("length").alias("lengths")))
     entries = reduce(
         DataFrame.unionByName, [_entries(s, _near(s, bins, minutes)) for s in sources]
     )

@@ -2,34 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from covdrift.operators.work import staged
+
 # monotonically_increasing_id puts the partition in the bits above 33 and the row below them.
 ROW_BITS = 33
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's checkpoint folder; only a local session without one gets a scratch folder."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="covdrift-checkpoint-")
-    sc.setCheckpointDir(shared)
-
-
-def materialised(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder and read from there: fixed rows, no lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def max_id(table: DataFrame, id_col: str = "tran_id") -> DataFrame:
     """One row: the highest id, 0 for an empty table."""
     return table.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("max_id"))
@@ -38,12 +19,14 @@ def max_id(table: DataFrame, id_col: str = "tran_id") -> DataFrame:
 def assign_ids(df: DataFrame, base: DataFrame, key: str, id_col: str) -> DataFrame:
     """Add ``id_col`` = base + 1, base + 2, ... in the order of the unique ``key``.
 
-    Rows are range-partitioned and sorted by key, and their position is written down with a
-    checkpoint, so a lost executor cannot shift it. Each partition's first id follows from the
-    row counts of those before it: one row per partition, small enough to broadcast.
+    Rows are staged first, as range partitioning reads its input twice. They are partitioned and
+    sorted by key, and their position is staged too, so a lost executor cannot shift it. Each
+    partition's first id follows from the row counts of those before it: one row per partition,
+    small enough to broadcast.
     """
-    placed = materialised(
-        df.repartitionByRange(F.col(key).asc())
+    placed = staged(
+        staged(df)
+        .repartitionByRange(F.col(key).asc())
         .sortWithinPartitions(F.col(key).asc())
         .withColumn("_at", F.monotonically_increasing_id())
     )

@@ -5,25 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# One long per row: 8 MB raw per million, and a few times that as a hash table on each executor.
-MAX_BROADCAST_KEYS = 2_000_000
+from covdrift.operators.work import staged
 
 
-def fits_broadcast(keys: DataFrame, limit: int = MAX_BROADCAST_KEYS) -> bool:
-    """Count the rows, one distributed aggregate, before they may be broadcast."""
-    return keys.count() <= limit
-
-
-def bounded_keys(df: DataFrame, key: str, limit: int = MAX_BROADCAST_KEYS) -> DataFrame | None:
-    """The distinct keys as a broadcast frame, or None when there are more than ``limit``."""
-    keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    return F.broadcast(keys) if fits_broadcast(keys, limit) else None
+def keys_of(df: DataFrame, key: str) -> DataFrame:
+    """The distinct keys, written once: read by several joins, and of a size Spark can see."""
+    return staged(df.select(key).where(F.col(key).isNotNull()).distinct())
 
 
 def only_keys(df: DataFrame, key: str, keys: DataFrame | None) -> DataFrame:
-    """Rows of ``df`` with one of ``keys``; all rows when the key set was too large to broadcast.
+    """Rows of ``df`` with one of ``keys``; all rows where no restriction is asked for.
 
-    Callers join on the same key afterwards, so both ways give the same final rows: this only
-    keeps rows that cannot match out of the shuffles in between.
+    A semi-join without a hint: the same rows are left out at every size, and Spark broadcasts
+    the keys or shuffles both sides as their size asks for.
     """
     return df if keys is None else df.join(keys, key, "left_semi")

@@ -1,7 +1,7 @@
 """Notices, one row each, that carry patient numbers and nothing else about a patient.
 
-A notice shows the first few numbers and how many more there are, so each group is reduced to
-those few and a count; no task ever holds all numbers of an employee.
+All numbers of an employee stay rows. A notice shows the first few and how many more there are, so
+only those few and a count are gathered; no task ever holds all numbers of an employee.
 """
 
 from __future__ import annotations
@@ -28,15 +28,19 @@ def distinct_numbers(alerts: DataFrame, *group: str) -> DataFrame:
     )
 
 
-def user_numbers(user_alerts: DataFrame, shown: int) -> DataFrame:
-    """(employee, n_numbers, numbers): the first ``shown`` numbers in order, and how many exist.
+def user_numbers(user_alerts: DataFrame) -> DataFrame:
+    """(employee, patient_no): every number of each employee, one row each.
 
-    An employee all of whose alerts lack a number stays, with an empty list.
+    A NULL number stands for alerts that lack one, so no employee is lost.
     """
     employee = F.trim("employee_name").alias("employee")
-    numbers = distinct_numbers(
+    return distinct_numbers(
         user_alerts.select(employee, "patient_no").where("employee <> ''"), "employee"
     )
+
+
+def shown_numbers(numbers: DataFrame, shown: int) -> DataFrame:
+    """(employee, n_numbers, numbers): the first ``shown`` numbers in order, and how many exist."""
     in_order = Window.partitionBy("employee").orderBy("patient_no")
     first = (
         numbers.where(F.col("patient_no").isNotNull())
@@ -57,9 +61,9 @@ def _number_text() -> Column:
     return capped_list(F.col("numbers"), F.col("n_numbers"))
 
 
-def capped_numbers(user_numbers: DataFrame) -> DataFrame:
-    """(employee, numbers_text)."""
-    return user_numbers.select("employee", _number_text().alias("numbers_text"))
+def capped_numbers(listed: DataFrame) -> DataFrame:
+    """(employee, numbers_text) from ``shown_numbers``."""
+    return listed.select("employee", _number_text().alias("numbers_text"))
 
 
 def _marker(params: Params, suffix: str = "") -> Column:
@@ -76,8 +80,8 @@ def _notice(df: DataFrame, employees: Column, message: Column, marker: Column, s
     )
 
 
-def user_outbox(user_numbers: DataFrame, params: Params) -> DataFrame:
-    """One notice per employee who made a change."""
+def user_outbox(listed: DataFrame, params: Params) -> DataFrame:
+    """One notice per employee who made a change, from ``shown_numbers``."""
     texts = params.messages
     named = F.concat(
         F.lit("You changed insurance for patient_no "),
@@ -86,7 +90,7 @@ def user_outbox(user_numbers: DataFrame, params: Params) -> DataFrame:
     )
     message = F.when(F.col("n_numbers") > 0, named).otherwise(texts.user_default)
     return _notice(
-        user_numbers,
+        listed,
         F.array("employee"),
         message,
         _marker(params, ":user"),

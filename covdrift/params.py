@@ -91,9 +91,6 @@ class Params:
     dispense_lookback_days: int = 45
     change_lookback_days: int = 3
     audit_minutes: int = 10
-    # The whole statement or log value is searched. Set a number to read only that many characters,
-    # as a system with bounded text columns would.
-    audit_text_chars: int | None = None
     rules: tuple[DrugRule, ...] = DEFAULT_RULES
     system_users: tuple[str, ...] = SYSTEM_USERS
     routing: ReminderRouting = field(default_factory=ReminderRouting)

@@ -12,7 +12,7 @@ from covdrift.operators.charges import dispense_charges, last_dispense
 from covdrift.operators.coverage import current_primary, primary_at_dispense
 from covdrift.operators.drift import NO_ALERT, drift
 from covdrift.operators.enrich import plan_lookup, prefixed, with_office, with_patient, with_plan
-from covdrift.operators.narrow import bounded_keys, only_keys
+from covdrift.operators.narrow import keys_of, only_keys
 from covdrift.operators.schedule import next_appointment, open_appointments
 from covdrift.params import Params
 
@@ -93,7 +93,7 @@ def appointment_outcomes(tables: Mapping[str, DataFrame], params: Params) -> Dat
         tables["schedule_detail"], params.as_of, params.horizon_days, params.procedure_drugs
     )
     # Only patients with an appointment matter: keep the others out of the big shuffles.
-    patients = bounded_keys(appointments, "patient_id")
+    patients = keys_of(appointments, "patient_id")
     charges = dispense_charges(
         tables, params.rules, params.as_of, params.report_lookback_days, patients
     )

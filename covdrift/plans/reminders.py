@@ -24,9 +24,15 @@ from covdrift.operators.coverage import (
     recent_primary_edits,
 )
 from covdrift.operators.enrich import plan_lookup, prefixed, with_patient, with_plan
-from covdrift.operators.ids import assign_ids, materialised, max_id
-from covdrift.operators.narrow import bounded_keys, only_keys
-from covdrift.operators.outbox import staff_outbox, user_numbers, user_outbox, with_payload
+from covdrift.operators.ids import assign_ids, max_id
+from covdrift.operators.narrow import keys_of, only_keys
+from covdrift.operators.outbox import (
+    shown_numbers,
+    staff_outbox,
+    user_numbers,
+    user_outbox,
+    with_payload,
+)
 from covdrift.operators.reminders import (
     as_todo,
     detail_rows,
@@ -36,6 +42,7 @@ from covdrift.operators.reminders import (
     suppress_open,
 )
 from covdrift.operators.users import patient_alerts, resolve_user, unattributed, user_alerts
+from covdrift.operators.work import staged
 from covdrift.params import Params
 from covdrift.sinks.reports import order_candidates, write_report
 from covdrift.sinks.store import ReminderStore
@@ -78,7 +85,7 @@ def reminder_candidates(
     insurance = tables["patient_insurance"]
     edits = recent_primary_edits(insurance, params.as_of_ts, params.change_lookback_days)
     # Only patients with a recent change matter: keep the others out of the big shuffles.
-    changed_patients = bounded_keys(edits, "patient_id")
+    changed_patients = keys_of(edits, "patient_id")
     charges = dispense_charges(
         tables, params.rules, params.as_of, params.dispense_lookback_days, changed_patients
     )
@@ -152,10 +159,10 @@ def attributed_changes(
     ).withColumnRenamed("sr_id", "insurance_sr_id")
     edits = logged_since(tables["edit_log_header"], "modified_date", params.as_of_ts, days, minutes)
     trail = logged_since(tables["audit_trail"], "tran_date", params.as_of_ts, days, minutes)
-    users, chars = params.system_users, params.audit_text_chars
-    sources = [edit_log_source(edits, users, chars), audit_trail_source(trail, users, chars)]
+    users = params.system_users
+    sources = [edit_log_source(edits, users), audit_trail_source(trail, users)]
     # Changes and their authors are few and read several times.
-    audited = materialised(attribute(materialised(changes), sources, minutes))
+    audited = staged(attribute(staged(changes), sources, minutes))
     return resolve_user(audited, tables["emp_master"])
 
 
@@ -223,5 +230,7 @@ def notices(
 ) -> DataFrame:
     """Staff and employee notices of one batch, with their JSON payload."""
     staff = staff_outbox(patient_alerts(batch, patients), batch, params)
-    numbers = user_numbers(user_alerts(resolved, patients), params.messages.shown_numbers)
+    numbers = shown_numbers(
+        user_numbers(user_alerts(resolved, patients)), params.messages.shown_numbers
+    )
     return with_payload(staff.unionByName(user_outbox(numbers, params)))

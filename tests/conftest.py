@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+from contextlib import contextmanager
 from datetime import date, datetime
 
 import pytest
@@ -27,6 +28,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="run-covdrift-warehouse-"))
         .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.debug.maxToStringFields", "1000")
         .getOrCreate()
@@ -61,3 +63,19 @@ def folder():
 
 def tuples(df: DataFrame, *columns: str) -> list[tuple]:
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+@contextmanager
+def settings(spark, **values):
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)

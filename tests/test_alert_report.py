@@ -14,7 +14,7 @@ from covdrift.plans.alert_report import (
     appointment_outcomes,
 )
 from covdrift.sinks.reports import order_report
-from tests.conftest import TODAY, tuples
+from tests.conftest import TODAY, settings, tuples
 
 DISPENSED = date(2023, 12, 1)
 SINCE = date(2023, 1, 1)
@@ -166,13 +166,11 @@ def test_input_order_does_not_matter(make, params):
     assert first == tuples(alert_report(turned, params), *REPORT_COLUMNS)
 
 
-def test_result_is_the_same_when_patients_are_too_many_to_broadcast(make, params, monkeypatch):
+def test_result_is_the_same_without_broadcasts(spark, make, params):
     tables = _tables(make, CASES)
     narrowed = tuples(alert_report(tables, params), *REPORT_COLUMNS)
-    monkeypatch.setattr(
-        "covdrift.plans.alert_report.bounded_keys", lambda df, key: None
-    )
-    assert tuples(alert_report(tables, params), *REPORT_COLUMNS) == narrowed
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert tuples(alert_report(tables, params), *REPORT_COLUMNS) == narrowed
 
 
 def test_alert_text(make, params):

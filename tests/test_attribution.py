@@ -12,7 +12,7 @@ from covdrift.operators.attribution import (
     match_logs,
 )
 from covdrift.params import SYSTEM_USERS
-from tests.conftest import tuples
+from tests.conftest import settings, tuples
 
 AT = datetime(2024, 1, 16, 9, 59, 59, 999_999)
 TEN = timedelta(minutes=10)
@@ -135,16 +135,6 @@ def test_half_a_surrogate_pair_is_no_text(make, changes):
     assert match_logs(change, [_edit(make, {"old_values": "a\U0001f600bc"})], 10).count() == 1
 
 
-def test_texts_can_be_bounded(make, changes):
-    trail = make(
-        "audit_trail", {"user_name": "bob", "tran_date": AT, "sql_syntax": "x" * 2000 + "MEM1"}
-    )
-    change = changes({"membership_id": "MEM1"})
-    for chars, found in ((None, 1), (2000, 0), (2004, 1)):
-        source = audit_trail_source(trail, SYSTEM_USERS, chars)
-        assert match_logs(change, [source], 10).count() == found
-
-
 def test_blank_numbers_never_match(make, changes):
     change = changes({"membership_id": "", "insurance_no": ""}, {"patient_id": 8})
     assert match_logs(change, [_edit(make, {"old_values": "any text"})], 10).count() == 0
@@ -273,7 +263,7 @@ def test_everything_in_one_window(spark, make):
     ]
 
 
-def test_same_rows_when_keys_are_too_many_to_broadcast(make, changes, monkeypatch):
+def test_same_rows_without_broadcasts(spark, make, changes):
     change = changes({"membership_id": "MEM1"}, {"patient_id": 8, "membership_id": "X9"})
     sources = [
         _edit(make, {"PK_1": "7"}, {"new_values": "aX9b", "modified_by": "bea"}),
@@ -282,5 +272,16 @@ def test_same_rows_when_keys_are_too_many_to_broadcast(make, changes, monkeypatc
     columns = ("patient_id", "log", "audit_user", "audit_ts")
     broadcast = tuples(match_logs(change, sources, 10), *columns)
     assert len(broadcast) == 3
-    monkeypatch.setattr("covdrift.operators.attribution.fits_broadcast", lambda keys: False)
-    assert tuples(match_logs(change, sources, 10), *columns) == broadcast
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert tuples(match_logs(change, sources, 10), *columns) == broadcast
+
+
+def test_changes_of_one_instant_without_broadcasts(spark, make, changes):
+    change = changes(*[{"patient_id": i, "insurance_sr_id": i} for i in range(3000)])
+    trail = make(
+        "audit_trail",
+        {"user_name": "bob", "tran_date": AT, "sql_syntax": "update patient_insurance"},
+    )
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = match_logs(change, [audit_trail_source(trail, SYSTEM_USERS)], 10)
+        assert tuples(found.groupBy("audit_user").count(), "audit_user", "count") == [("bob", 3000)]

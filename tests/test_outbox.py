@@ -9,6 +9,7 @@ from covdrift import Messages
 from covdrift.operators.outbox import (
     capped_numbers,
     staff_outbox,
+    shown_numbers,
     user_numbers,
     user_outbox,
     with_payload,
@@ -100,10 +101,18 @@ def test_numbers_are_merged_by_case_and_spacing(alerts):
     rows = alerts(
         (" E ", "a  1"), ("E", "A 1 "), ("E", " A\t1"), ("E", " B2"), ("E", ""), ("E", None)
     )
-    found = user_numbers(rows, 8).collect()
+    assert tuples(user_numbers(rows), "employee", "patient_no") == sorted(
+        [("E", "A 1"), ("E", "B2"), ("E", None)], key=repr
+    )
+    found = shown_numbers(user_numbers(rows), 8).collect()
     assert [(r.employee, r.n_numbers, r.numbers) for r in found] == [("E", 2, ["A 1", "B2"])]
 
 
+def test_all_numbers_of_an_employee_are_rows(alerts):
+    rows = alerts(*[("E", f"P{i:03}") for i in range(40)])
+    assert tuples(user_numbers(rows), "patient_no") == [(f"P{i:03}",) for i in range(40)]
+
+
 @pytest.mark.parametrize(
     ("count", "text"),
     [
@@ -115,14 +124,14 @@ def test_numbers_are_merged_by_case_and_spacing(alerts):
 )
 def test_capped_list(alerts, count, text):
     rows = alerts(("E", ""), *[("E", f"P{i + 1}") for i in range(count)])
-    assert tuples(capped_numbers(user_numbers(rows, 8)), "employee", "numbers_text") == [
+    assert tuples(capped_numbers(shown_numbers(user_numbers(rows), 8)), "employee", "numbers_text") == [
         ("E", text)
     ]
 
 
 def test_user_notices(alerts, params):
     rows = alerts(("E", "P1"), ("F", ""), ("  ", "P9"), ("", "P9"))
-    found = user_outbox(user_numbers(rows, 8), params)
+    found = user_outbox(shown_numbers(user_numbers(rows), 8), params)
     assert tuples(found, "employees", "marker_prefix", "source") == [
         (["E"], "bio_auth:202401161200:user", "BIO_INS_CHANGE_PA"),
         (["F"], "bio_auth:202401161200:user", "BIO_INS_CHANGE_PA"),
@@ -167,7 +176,8 @@ def test_no_team_no_staff_notice(numbers, batch, params):
 
 
 def test_payload(alerts, params):
-    (row,) = with_payload(user_outbox(user_numbers(alerts(("E", "P1")), 8), params)).collect()
+    listed = shown_numbers(user_numbers(alerts(("E", "P1"))), 8)
+    (row,) = with_payload(user_outbox(listed, params)).collect()
     assert json.loads(row.payload) == {
         "employees": ["E"],
         "message": row.message,

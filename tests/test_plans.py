@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from contextlib import contextmanager
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -18,31 +17,14 @@ from covdrift.operators.coverage import (
     recent_primary_change,
     recent_primary_edits,
 )
-from covdrift.operators.narrow import bounded_keys
 from covdrift.operators.schedule import open_appointments
 from covdrift.schemas import SCHEMAS
 from covdrift.sources.tables import load_tables
-from tests.conftest import NOW, TODAY
+from tests.conftest import NOW, TODAY, settings
 
 SF = "/root/testdata/sf0.001"
 
 
-@contextmanager
-def settings(spark, **values):
-    names = {name.replace("__", "."): value for name, value in values.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -125,14 +107,6 @@ def test_no_query_uses_a_nested_loop_or_python(spark, broadcast):
                 assert operator not in text, (name, operator)
 
 
-def test_broadcast_of_keys_is_bounded(spark):
-    keys = spark.range(10).select(F.col("id").alias("k"))
-    assert bounded_keys(keys, "k", limit=9) is None
-    assert bounded_keys(keys, "k", limit=10).count() == 10
-    nothing = spark.createDataFrame([(None,), (None,)], "k bigint")
-    assert bounded_keys(nothing, "k", limit=0).count() == 0
-
-
 def _skewed(spark, rows):
     """A third of the rows belong to patient 0; sized so that its partition counts as skewed."""
     return {

@@ -18,7 +18,7 @@ from covdrift.plans.reminders import (
 from covdrift.schemas import SCHEMAS
 from covdrift.sinks.reports import order_candidates
 from covdrift.sinks.store import ReminderStore
-from tests.conftest import NOW, TODAY, tuples
+from tests.conftest import NOW, TODAY, settings, tuples
 
 MARKER = "BIO_INS_CHANGE_PA"
 DISPENSED = date(2024, 1, 10)
@@ -147,10 +147,10 @@ def test_extra_condition(tables, params):
     assert tuples(one, "patient_id") == [(2,)]
 
 
-def test_same_candidates_when_patients_are_too_many_to_broadcast(tables, params, monkeypatch):
+def test_same_candidates_without_broadcasts(spark, tables, params):
     narrowed = tuples(reminder_candidates(tables, params), *CANDIDATE_COLUMNS)
-    monkeypatch.setattr("covdrift.plans.reminders.bounded_keys", lambda df, key: None)
-    assert tuples(reminder_candidates(tables, params), *CANDIDATE_COLUMNS) == narrowed
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert tuples(reminder_candidates(tables, params), *CANDIDATE_COLUMNS) == narrowed
 
 
 @pytest.mark.parametrize(
