@@ -21,7 +21,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
-from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -111,19 +110,19 @@ def _round(rows: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
     """
 
     def rounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for batch in chain(batches, [None]):
-            rows = pd.concat([x for x in (held, batch) if x is not None], ignore_index=True)
-            if batch is None:
-                ready, held = rows, None
-            else:
-                # The last group may go on in the next batch.
-                same = (rows["source_no"] == rows["source_no"].iloc[-1]) & (
-                    rows["group"] == rows["group"].iloc[-1]
-                )
-                ready, held = rows[~same], rows[same]
-            if len(ready):
-                yield _settle(ready, level, last, seed)
+        held = pd.DataFrame()
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = pd.concat([held, batch], ignore_index=True) if len(held) else batch
+            # The last group may go on in the next batch.
+            last_row = rows.iloc[-1]
+            same = (rows["source_no"] == last_row["source_no"]) & (rows["group"] == last_row["group"])
+            held = rows[same]
+            if not same.all():
+                yield _settle(rows[~same], level, last, seed)
+        if len(held):
+            yield _settle(held, level, last, seed)
 
     dealt = rows.repartition("source_no", "group")
     return dealt.sortWithinPartitions("source_no", "group", "place", "row").mapInPandas(rounded, _STATE)
