@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from covdrift.llm.embedding_dedup import _hadamard, link_classes
+from tests.llm.helpers import union_find
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, row string")
+
+
+def brute(rows):
+    n = len(rows)
+    unit = []
+    for _, v, label, _ in rows:
+        bad = v is None or label is None or not v or any(x is None or not np.isfinite(x) for x in v)
+        u = None if bad else np.float32(v).astype(float)
+        unit.append(None if bad or not np.linalg.norm(u) else u / np.linalg.norm(u))
+    pairs = [
+        (i, j)
+        for i in range(n)
+        for j in range(i)
+        if unit[i] is not None and unit[j] is not None and rows[i][2] == rows[j][2]
+        and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.98
+    ]
+    links = [0] * n
+    for i, j in pairs:
+        links[i] += 1
+        links[j] += 1
+    return pairs, links, union_find(n, pairs)
+
+
+def given():
+    rng = np.random.default_rng(3)
+    rows = []
+    for c in range(30):
+        center = rng.normal(size=64)
+        for _ in range(12 if c else 90):
+            v = center + rng.normal(size=64) * rng.choice([0.01, 0.06, 0.12])
+            rows.append((len(rows), [float(x) for x in np.float32(v)], int(c % 3), "x"))
+    odd = [None, [], [0.0] * 64, [float("nan")] * 64, [None] + [1.0] * 63, [float("inf")] * 64, [1.0] * 63, [1.0] * 63]
+    rows += [(len(rows) + i, v, 1, "x") for i, v in enumerate(odd)]
+    return rows + [(len(rows), rows[0][1], None, "x"), (len(rows) + 1, rows[0][1], 0, "x")]
+
+
+@pytest.mark.parametrize("block", [2048, 16])
+def test_links_match_all_pairs(spark, block):
+    rows = given()
+    _, links, roots = brute(rows)
+    got = {r.vec_id: r for r in link_classes(frame(spark, rows).repartition(3), block=block).collect()}
+    assert len(got) == len(rows)
+    found = sum(got[i].n_links for i in range(len(rows)))
+    assert 0.97 * sum(links) <= found <= sum(links)
+    assert all(got[i].n_links <= links[i] for i in got)
+    same = sum(got[i].component_id == roots[i] for i in got)
+    assert same >= 0.97 * len(rows)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_hadamard_keeps_lengths():
+    x = np.random.default_rng(1).normal(size=(5, 32))
+    assert np.allclose(np.linalg.norm(_hadamard(x), axis=1), np.linalg.norm(x, axis=1))
+    assert np.allclose(_hadamard(_hadamard(x)), x)
+
+
+def test_empty_table_and_repeated_rows(spark):
+    assert link_classes(frame(spark, [])).count() == 0
+    v = [1.0, 2.0, 3.0, 4.0]
+    rows = link_classes(frame(spark, [(7, v, 1, "x"), (7, v, 1, "x"), (None, v, 1, "x"), (9, v, 2, "x")])).collect()
+    assert sorted((r.n_links, r.component_id) for r in rows) == [(0, 9), (2, 7), (2, 7), (2, 7)]

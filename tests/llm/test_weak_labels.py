@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import numpy as np
+
+from covdrift.llm.quality_rules import Document
+from covdrift.llm.weak_labels import LABELLERS, MIN_WORDS, accuracy, classify, estimate, vote_patterns
+from tests.llm.helpers import docs, odd_texts
+
+
+def prose(rng, n=80):
+    found = []
+    for i in range(n):
+        word = "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 8)))
+        found.append(word.capitalize() if i % 9 == 0 else word + ("." if i % 9 == 8 else ""))
+    return " ".join(found)
+
+
+def junk(rng, kind):
+    text = prose(rng)
+    if kind == 0:
+        return text.upper().replace(" ", "!! ")
+    if kind == 1:
+        return text.replace(" ", " | ")
+    return " ".join([w for w in text.split()[:5] for _ in range(20)])
+
+
+def test_estimation_finds_good_and_bad_voters():
+    rng = np.random.default_rng(1)
+    truth = rng.random(20_000) < 0.8
+    right = [0.9, 0.85, 0.8, 0.6]
+    votes = np.array([np.where(rng.random(20_000) < a, truth, ~truth) for a in right]).T.astype(int)
+    votes[rng.random(votes.shape) < 0.2] = 2
+    counts = Counter("".join(map(str, v)) for v in votes)
+    posterior, chance = estimate(counts)
+    for i, a in enumerate(right):
+        said = chance[i, 1, 1] / (chance[i, 1, 0] + chance[i, 1, 1])
+        assert abs(said - a) < 0.05
+    judged = [posterior["".join(map(str, v))] >= 0.5 for v in votes]
+    assert accuracy(judged, truth) > 0.85
+
+
+def test_patterns_count_all_documents(spark):
+    rng = random.Random(1)
+    texts = [prose(rng) for _ in range(5)] + [junk(rng, k) for k in range(3)] + odd_texts()[:6]
+    got = {r.pattern: r["count"] for r in vote_patterns(docs(spark, texts)).collect()}
+    ds = [d for d in map(Document, texts) if len(d.words) >= MIN_WORDS]
+    assert got == Counter("".join(str(v(d)) for v in LABELLERS.values()) for d in ds)
+
+
+def test_held_out_accuracy(spark):
+    rng = random.Random(4)
+    good = [prose(rng) for _ in range(150)]
+    bad = [junk(rng, k % 3) for k in range(45)]
+    rows = classify(docs(spark, good + bad + odd_texts())).orderBy("doc_id").collect()
+    assert accuracy([r.kept for r in rows[:195]], [True] * 150 + [False] * 45) > 0.97
+    assert [r.kept for r in rows[195:198]] == [False] * 3 and rows[198].score == 0.5
+
+
+def test_empty_table(spark):
+    assert classify(docs(spark, [])).count() == 0
+    assert [r.score for r in classify(docs(spark, ["a plain text of six words"] * 2)).collect()] == [0.5, 0.5]
