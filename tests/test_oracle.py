@@ -9,13 +9,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from covdrift.checks.oracle import with_steps
+from covdrift.checks.oracle import oracle_sql, with_steps
+from covdrift.checks.queries import REGISTRY
 from covdrift.operators.charges import dispense_charges, last_dispense
 from covdrift.plans.reminders import attributed_changes
 from covdrift.sources.adapter import AS_OF, SOURCES, TEST_PARAMS, TEST_RULES, TestTables
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = contract.oracle_sql()
+SQL = oracle_sql()
 
 
 LARGEST = "/root/testdata/sf0.1"
@@ -42,12 +43,13 @@ def _normal(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(contract.queries())
+    assert set(SQL) == set(REGISTRY)
+    assert set(SQL) <= set(contract.oracle_sql()) and set(REGISTRY) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    found = contract.queries()[name](spark, SF)
+    found = REGISTRY[name](spark, SF)
     cursor = duck.execute(SQL[name])
     columns = [c[0] for c in cursor.description]
     assert sorted(found.columns) == sorted(columns)
