@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,15 @@ def fixed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder: as ``fixed``, but packed."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, UPPER.lower())

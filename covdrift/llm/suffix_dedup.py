@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covdrift.llm.common import fixed
+from covdrift.llm.common import stored
 
 LENGTH = 400
 GRAM = 64
@@ -117,15 +117,12 @@ def runs(data: bytes, places: np.ndarray, length: int = LENGTH, run: int = RUN)
     one, two = Hashes(data, 1), Hashes(data, 2)
     salt = number.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
     core = one.of(back, front + length) ^ salt
-    full = (lo == front) & (hi == back)
-    f, b = np.where(full, front, 0), np.where(full, back + length, 0)
     return {
         "lo": lo,
         "hi": hi,
         "core": core.view(np.int64),
-        "full": full,
-        "k1": (one.of(f, b) ^ salt).view(np.int64),
-        "k2": two.of(f, b).view(np.int64),
+        "k1": one.of(lo, hi + length).view(np.int64),
+        "k2": two.of(lo, hi + length).view(np.int64),
     }
 
 
@@ -184,7 +181,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int =
         key, anchor, lo, hi = anchors(data, length, gram)
         return {"key": key, "anchor": anchor, "lo": lo, "hi": hi}
 
-    found = fixed(_each_text(named.drop("row", "doc_id"), first, "key long, anchor long, lo long, hi long"))
+    found = stored(_each_text(named.drop("row", "doc_id"), first, "key long, anchor long, lo long, hi long"))
     shared = _repeated(found, ["key"], F.xxhash64(*ID, "anchor")).drop("least")
     places = found.join(shared, "key").select(*ID, F.struct("anchor", "lo", "hi").alias("p")).distinct()
     reps = named.groupBy(*ID).agg(F.min("row").alias("row"))
@@ -196,15 +193,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int =
     def second(data: bytes, r) -> dict:
         return runs(data, np.array([(p["anchor"], p["lo"], p["hi"]) for p in r.places]), length, run)
 
-    schema = "lo long, hi long, core long, full boolean, k1 long, k2 long"
-    cut = fixed(_each_text(with_text(places), second, schema))
+    schema = "lo long, hi long, core long, k1 long, k2 long"
+    cut = stored(_each_text(with_text(places), second, schema))
     place = F.xxhash64(*ID, "lo")
     common = cut.join(_repeated(cut, ["core"], place).drop("least"), "core")
-    same = _repeated(cut.where("full"), ["k1", "k2"], place)
-    common = fixed(
+    same = _repeated(cut, ["k1", "k2"], place)
+    common = stored(
         common.join(same, ["k1", "k2"], "left").select(
             *ID, "lo", "hi", "core",
-            (F.col("full") & F.col("least").isNotNull()).alias("settled"),
+            F.col("least").isNotNull().alias("settled"),
             (F.col("least") == place).alias("leads"),
         )
     )
@@ -215,7 +212,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int =
         return windows(data, np.array([(p["lo"], p["hi"]) for p in r.places]), length)
 
     left = rest.unionByName(leads).select(*ID, F.struct("lo", "hi").alias("p"))
-    single = fixed(_each_text(with_text(left), third, "lo long, hi long, k1 long, k2 long"))
+    single = stored(_each_text(with_text(left), third, "lo long, hi long, k1 long, k2 long"))
     hit = single.join(_repeated(single, ["k1", "k2"], place), ["k1", "k2"])
     both = common.where("settled").select(*ID, "lo", "hi").union(hit.select(*ID, "lo", "hi"))
     return both.select(*ID, F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
