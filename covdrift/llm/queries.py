@@ -117,4 +117,42 @@ QUERIES: dict[str, Query] = {
         op10_embedding_dedup,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+#: The base measures, and each rule of the cascade as one condition; their order plays no part.
+_QUALITY_SQL = rf"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS MATERIALIZED (SELECT r, unnest({_WORDS.format("t")}) AS w,
+                          generate_subscripts({_WORDS.format("t")}, 1) AS i FROM d),
+grams AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (
+        SELECT r, i, w AS a, lead(w, 1) OVER win AS b, lead(w, 2) OVER win AS c FROM w
+        WINDOW win AS (PARTITION BY r ORDER BY i)) WHERE c IS NOT NULL),
+twice AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words
+    FROM grams, (VALUES (0), (1), (2)) step(k) WHERE n > 1 GROUP BY r),
+words AS (
+    SELECT r, max(n) AS top, sum(n) AS n_words, sum(n * length(w)) AS word_chars
+    FROM (SELECT r, w, count(*) AS n FROM w GROUP BY r, w) GROUP BY r),
+lines AS (
+    SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup_lines
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d)
+    WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (
+    SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(n_lines, 0) AS n_lines, coalesce(top, 0) AS top,
+           len(regexp_extract_all(t, '[A-Z]')) AS upper, len(regexp_extract_all(t, '[a-z]')) AS lower,
+           len(regexp_extract_all(t, '!')) AS bangs
+    FROM d LEFT JOIN words USING (r) LEFT JOIN lines USING (r) LEFT JOIN twice USING (r)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words OR upper > lower OR 3 * bangs > n_words
+            OR (n_lines >= 4 AND 2 * n_dup_lines > n_lines) OR 5 * top > n_words
+            OR word_chars > 20 * n_words) AS kept
+FROM b"""
+
+#: Tokens, edit links, checksums, rotations and random rounding are tested by brute force instead.
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": _QUALITY_SQL}
