@@ -48,7 +48,6 @@ from covdrift.sources.adapter import AS_OF, AS_OF_TS, TEST_PARAMS, TEST_RULES, T
 
 P = TEST_PARAMS
 MARKER = P.routing.marker
-COVERAGE_KEYS = ["insurance_id", "insurance_no", "membership_id", "group_no", "group_name"]
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
@@ -143,9 +142,7 @@ def _current_primary_coverage(t):
 
 @query("primary_at_dispense")
 def _primary_coverage_at_dispense(t):
-    return primary_at_dispense(_last_by_drug(t), t["patient_insurance"]).drop(
-        "dispense_date", "priority", "active"
-    )
+    return primary_at_dispense(_last_by_drug(t), t["patient_insurance"])
 
 
 @query("recent_primary_change")
@@ -173,7 +170,7 @@ def _next_appointments(t):
     appointments = open_appointments(
         t["schedule_detail"], AS_OF, P.horizon_days, P.procedure_drugs
     )
-    return next_appointment(appointments).drop("schedule_patient_name", "schedule_note")
+    return next_appointment(appointments)
 
 
 @query("enrich_plan_carrier")
@@ -227,9 +224,7 @@ def _reminder_candidates(t):
 
 @query("todo_rows")
 def _todo_rows(t):
-    return reminders.new_reminders(
-        reminders.reminder_candidates(t, P), t["todo"], P
-    ).drop("iteration")
+    return reminders.new_reminders(reminders.reminder_candidates(t, P), t["todo"], P)
 
 
 @query("assign_ids")
@@ -247,9 +242,7 @@ def _missing_detail_rows(t):
 
 @query("detail_backfill")
 def _detail_backfill(t):
-    return reminders.new_details(t["todo"], t["tobe_done_detail"], P).drop(
-        "createdby_id", "changedby_id"
-    )
+    return reminders.new_details(t["todo"], t["tobe_done_detail"], P)
 
 
 @query("open_count")
@@ -326,14 +319,7 @@ def _outbox_staff(t):
 @query("coverage_snapshot")
 def _dispense_snapshot(t):
     by_drug = _last_by_drug(t)
-    return coverage_snapshot(by_drug, primary_at_dispense(by_drug, t["patient_insurance"])).select(
-        "patient_id",
-        "biologic_drug",
-        "source_event",
-        "source_tran_id",
-        "source_date",
-        *COVERAGE_KEYS,
-    )
+    return coverage_snapshot(by_drug, primary_at_dispense(by_drug, t["patient_insurance"]))
 
 
 @query("snapshot_drift")

@@ -11,6 +11,11 @@ from covdrift.operators.enrich import prefixed
 from covdrift.operators.latest import latest_per
 
 COVERAGE_FIELDS = ["insurance_id", "insurance_no", "membership_id", "group_no", "group_name"]
+SNAPSHOT_SCHEMA = """patient_id bigint, biologic_drug string, source_event string,
+    source_tran_id bigint, source_date date, insurance_id bigint, insurance_no string,
+    membership_id string, group_no string, group_name string, pa_status string,
+    pa_expiration_date date, resolved_status string, resolved_by string,
+    resolved_at timestamp_ntz, run_id string"""
 
 
 def coverage_snapshot(last_dispense: DataFrame, at_dispense: DataFrame) -> DataFrame:
@@ -34,6 +39,27 @@ def coverage_snapshot(last_dispense: DataFrame, at_dispense: DataFrame) -> DataF
     )
 
 
+def approval_snapshot(approvals: DataFrame, current: DataFrame) -> DataFrame:
+    """One snapshot row per approval, of the coverage that is current when it is recorded.
+
+    ``approvals`` has patient_id, biologic_drug, source_tran_id, source_date, pa_status and
+    pa_expiration_date.
+    """
+    coverage = current.select("patient_id", *COVERAGE_FIELDS)
+    unset = {"resolved_status": "string", "resolved_by": "string", "resolved_at": "timestamp_ntz"}
+    return approvals.join(coverage, "patient_id").select(
+        "patient_id",
+        "biologic_drug",
+        F.lit("APPROVAL").alias("source_event"),
+        "source_tran_id",
+        "source_date",
+        *COVERAGE_FIELDS,
+        "pa_status",
+        "pa_expiration_date",
+        *[F.lit(None).cast(kind).alias(name) for name, kind in unset.items()],
+    )
+
+
 def snapshot_drift(snapshots: DataFrame, current: DataFrame) -> DataFrame:
     """Newest snapshot per patient and drug against current coverage, by the drift rules.
 

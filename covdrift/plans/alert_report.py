@@ -14,6 +14,7 @@ from covdrift.operators.drift import NO_ALERT, drift
 from covdrift.operators.enrich import plan_lookup, prefixed, with_office, with_patient, with_plan
 from covdrift.operators.narrow import keys_of, only_keys
 from covdrift.operators.schedule import next_appointment, open_appointments
+from covdrift.operators.work import staged
 from covdrift.params import Params
 
 REPORT_COLUMNS = [
@@ -97,7 +98,8 @@ def appointment_outcomes(tables: Mapping[str, DataFrame], params: Params) -> Dat
     charges = dispense_charges(
         tables, params.rules, params.as_of, params.report_lookback_days, patients
     )
-    dispenses = last_dispense(charges, ["patient_id", "biologic_drug"])
+    # Read for the report and again for the coverage at that time: planned and run once.
+    dispenses = staged(last_dispense(charges, ["patient_id", "biologic_drug"]))
     insurance = only_keys(tables["patient_insurance"], "patient_id", patients)
     base = assemble(
         next_appointment(appointments),

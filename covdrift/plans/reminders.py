@@ -83,7 +83,8 @@ def reminder_candidates(
 ) -> DataFrame:
     """Patients due a reminder, one row each, in no order. ``extra`` restricts them further."""
     insurance = tables["patient_insurance"]
-    edits = recent_primary_edits(insurance, params.as_of_ts, params.change_lookback_days)
+    # A few days' edits, read for the keys and again for the change.
+    edits = staged(recent_primary_edits(insurance, params.as_of_ts, params.change_lookback_days))
     # Only patients with a recent change matter: keep the others out of the big shuffles.
     changed_patients = keys_of(edits, "patient_id")
     charges = dispense_charges(

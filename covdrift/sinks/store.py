@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from covdrift.operators.reminders import as_detail, as_todo
+from covdrift.operators.snapshot import SNAPSHOT_SCHEMA
 from covdrift.schemas import SCHEMAS
 
 
@@ -15,8 +16,10 @@ class ReminderStore:
     """Parquet folders under ``root``, which all executors can reach.
 
     One run writes at a time. Each run first writes its batch to its own staging folder; all later
-    steps read it from there, so a lost executor cannot change what was decided. A run that dies
-    is not resumed: the next one finds the reminders it left as open and adds their task rows.
+    steps read it from there, so a lost executor cannot change what was decided. A run that died
+    goes on when it is started again under its id: what it staged whole is used as it is, rows it
+    appended are not appended twice, and its notices are made once. Another run instead finds the
+    reminders it left as open and adds their task rows.
     """
 
     spark: SparkSession
@@ -30,6 +33,8 @@ class ReminderStore:
         for name in ("todo", "tobe_done_detail"):
             empty = self.spark.createDataFrame([], SCHEMAS[name])
             empty.write.mode("ignore").parquet(self._path(name))
+        nothing = self.spark.createDataFrame([], SNAPSHOT_SCHEMA)
+        nothing.write.mode("ignore").partitionBy("run_id").parquet(self._path("snapshots"))
         return self
 
     def _read(self, name: str) -> DataFrame:
@@ -41,14 +46,37 @@ class ReminderStore:
     def details(self) -> DataFrame:
         return self._read("tobe_done_detail")
 
+    def _complete(self, path: str) -> bool:
+        """Whether a write to ``path`` was committed."""
+        mark = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        files = mark.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return files.exists(mark)
+
     def stage(self, name: str, run_id: str, rows: DataFrame) -> DataFrame:
-        """Write a run's rows once and hand them back as read from the folder."""
+        """Write a run's rows once and hand them back as read from the folder.
+
+        What an earlier start of the run has written whole stays; a part of it is written anew.
+        """
         path = f"{self._path(name)}/run_id={run_id}"
-        rows.write.mode("errorifexists").parquet(path)
+        if not self._complete(path):
+            rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def append_reminders(self, batch: DataFrame) -> None:
-        as_todo(batch).write.mode("append").parquet(self._path("todo"))
+        """Add the rows of ``batch`` that are not there yet."""
+        known = self.todo().select("tran_id")
+        new = as_todo(batch).join(known, "tran_id", "left_anti").select(SCHEMAS["todo"].names)
+        new.write.mode("append").parquet(self._path("todo"))
+
+    def snapshots(self) -> DataFrame:
+        """Every stored coverage snapshot, with the run that took it."""
+        return self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self._path("snapshots"))
+
+    def keep_snapshots(self, run_id: str, rows: DataFrame) -> None:
+        """Store a run's snapshots, once; nothing stored is ever changed."""
+        path = f"{self._path('snapshots')}/run_id={run_id}"
+        if not self._complete(path):
+            rows.drop("run_id").write.mode("overwrite").parquet(path)
 
     def append_details(self, batch: DataFrame) -> None:
         as_detail(batch).write.mode("append").parquet(self._path("tobe_done_detail"))

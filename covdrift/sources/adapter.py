@@ -87,12 +87,14 @@ VIEWS: dict[str, View] = {
         {
             "tran_id": "event_id",
             "forwhom_id": "user_id",
+            "forwhom_name": "'Patient ' || cast(user_id as varchar(20))",
             "procedure_id": "case event_type when 'click' then 21 when 'view' then 53 "
             "when 'purchase' then 55 else 51 end",
             "schedule_date": "cast(ts as date)",
             "schedule_time": "substring(cast(ts as varchar(30)), 12, 8)",
             "office_id": "user_id % 25",
             "status": "event_type",
+            "schedule_note": "props",
             "canceled_date": "case when event_id % 10 = 0 then ts end",
         },
     ),
@@ -122,6 +124,8 @@ VIEWS: dict[str, View] = {
             "todo_at": "'T'",
             "iteration": "1",
             "created_date": "o_orderdate + interval 8400 day",
+            "createdby_id": "o_custkey % 7",
+            "changedby_id": "o_custkey % 5",
         },
         "o_orderstatus = 'P' and o_orderkey % 7 in (0, 1, 2)",
     ),

@@ -4,7 +4,12 @@ from datetime import date, datetime, timedelta
 
 import pytest
 
-from covdrift.operators.snapshot import alert_text, coverage_snapshot, snapshot_drift
+from covdrift.operators.snapshot import (
+    alert_text,
+    approval_snapshot,
+    coverage_snapshot,
+    snapshot_drift,
+)
 from covdrift.operators.charges import dispense_charges, last_dispense
 from covdrift.operators.coverage import current_primary, primary_at_dispense
 from covdrift.plans.alert_report import (
@@ -14,6 +19,7 @@ from covdrift.plans.alert_report import (
     appointment_outcomes,
 )
 from covdrift.sinks.reports import order_report
+from covdrift.sinks.store import ReminderStore
 from tests.conftest import TODAY, settings, tuples
 
 DISPENSED = date(2023, 12, 1)
@@ -206,3 +212,34 @@ def test_snapshot_drift(make, params, row, reason):
     assert len(snapshot.columns) == 15
     drifted = snapshot_drift(snapshot, current_primary(tables["patient_insurance"], TODAY))
     assert tuples(drifted, "alert_reason") == ([(reason,)] if reason else [])
+
+
+def test_an_edit_in_place_is_found_through_the_stored_snapshot(spark, make, folder):
+    coverage = {
+        "patient_id": 1, "sr_id": 1, "priority": "P", "active": "Y", "insurance_id": 5,
+        "insurance_no": "I1", "membership_id": "M1", "group_no": "G1",
+    }
+    dispense = spark.createDataFrame(
+        [(1, "XOLAIR", date(2024, 1, 10), 7)],
+        "patient_id bigint, biologic_drug string, dispense_date date, dispense_tran_id bigint",
+    )
+    before = make("patient_insurance", coverage)
+    store = ReminderStore(spark, folder).create()
+    taken = coverage_snapshot(dispense, primary_at_dispense(dispense, before))
+    store.keep_snapshots("r1", taken)
+    approval = spark.createDataFrame(
+        [(1, "FASENRA", 8, date(2024, 1, 11), "APPROVED", date(2024, 7, 1))],
+        "patient_id bigint, biologic_drug string, source_tran_id bigint, source_date date, "
+        "pa_status string, pa_expiration_date date",
+    )
+    store.keep_snapshots("r2", approval_snapshot(approval, current_primary(before, TODAY)))
+    store.keep_snapshots("r1", taken)
+    kept = store.snapshots()
+    assert tuples(kept, "source_event", "run_id", "pa_status") == [
+        ("APPROVAL", "r2", "APPROVED"), ("DISPENSE", "r1", None),
+    ]
+    edited = make("patient_insurance", {**coverage, "membership_id": "M2"})
+    found = snapshot_drift(store.snapshots(), current_primary(edited, TODAY))
+    assert tuples(found, "biologic_drug", "alert_reason") == [
+        ("FASENRA", "MEMBER ID CHANGED"), ("XOLAIR", "MEMBER ID CHANGED"),
+    ]

@@ -285,11 +285,29 @@ def test_apply_and_apply_again(spark, tables, params, folder):
     assert store.todo().count() == 4 and store.details().count() == 4
 
 
-def test_a_run_id_is_used_once(spark, tables, params, folder):
+@pytest.mark.parametrize("step", ["append_reminders", "append_details", "attributed", "outbox"])
+def test_a_run_that_died_goes_on_under_its_id(spark, tables, params, folder, step, monkeypatch):
     store = ReminderStore(spark, folder).create()
-    run_reminders(tables, params, store, "r1", apply=True)
-    with pytest.raises(Exception, match="(?i)already exists"):
-        run_reminders(tables, params, store, "r1", apply=True)
+
+    def die(self, name, *rest):
+        if name == step or step.startswith("append"):
+            raise RuntimeError("lost")
+        return stage(self, name, *rest)
+
+    stage = ReminderStore.stage
+    with monkeypatch.context() as broken:
+        broken.setattr(ReminderStore, step if step.startswith("append") else "stage", die)
+        if step.startswith("append"):
+            broken.setattr(ReminderStore, step, lambda self, batch: die(self, step))
+        with pytest.raises(RuntimeError):
+            run_reminders(tables, params, store, "r1", apply=True)
+    run = run_reminders(tables, params, store, "r1", apply=True)
+    assert run.inserted == 4 and run.outbox.count() == 2
+    assert tuples(store.todo(), "tran_id", "forwhom_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
+    assert tuples(store.details(), "tran_id", "todo_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
+    again = run_reminders(tables, params, store, "r1", apply=True)
+    assert tuples(again.outbox, "message") == tuples(run.outbox, "message")
+    assert store.todo().count() == 4 and store.details().count() == 4
 
 
 def test_a_later_run_repairs_one_that_died_between_the_tables(spark, tables, params, folder):
