@@ -17,6 +17,7 @@ ids are carried along; words are never cut off; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
 from functools import reduce
@@ -80,11 +81,16 @@ def template_grams(spark: SparkSession, templates: Mapping[str, tuple[str, str]]
         if len(words) < k:
             raise ValueError(f"template {name} has fewer than {k} words")
         grams = len(words) - k + 1
-        rows += [(words[q : q + k], name, q, label, grams) for q in range(grams)]
+        rows += [
+            {"words": words[q : q + k], "template": name, "q": q, "label": label, "grams": grams}
+            for q in range(grams)
+        ]
     if len(rows) > MAX_GRAMS:
         raise ValueError(f"{len(rows)} template grams are more than {MAX_GRAMS}")
-    frame = spark.createDataFrame(rows, "words array<string>, template string, q int, label string, grams int")
-    return frame.select(F.xxhash64(*[F.get("words", i) for i in range(k)]).alias("gram"), "template", "q", "label", "grams")
+    kind = "array<struct<words:array<string>,template:string,q:int,label:string,grams:int>>"
+    frame = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
+    gram = F.xxhash64(*[F.get("words", i) for i in range(k)])
+    return frame.select(gram.alias("gram"), "template", "q", "label", "grams")
 
 
 def phrase_places(words: Column, phrases: Mapping[str, str]) -> Column:
@@ -142,7 +148,10 @@ def scan(
     )
     each = rows.select("row", "doc_id", "n_words", "base", F.explode("at").alias("at"))
     each = each.select("row", "doc_id", "n_words", F.when(F.col("at.p") < 0, F.col("base")).alias("base"), "at.p", "at.gram")
-    kept = docs.sparkSession.createDataFrame([(0, None, -1, None, 0)], grams.schema)
+    kept = grams.sparkSession.range(1).selectExpr(
+        "cast(0 as bigint) as gram", "cast(null as string) as template", "-1 as q",
+        "cast(null as string) as label", "0 as grams",
+    )
     votes = each.join(F.broadcast(grams.union(kept)), "gram").where((F.col("p") < 0) == F.col("template").isNull())
     diagonal = F.when(F.col("p") >= 0, F.col("p") - F.col("q"))
     voted = votes.groupBy("row", "doc_id", "n_words", "template", "label", "grams", diagonal.alias("diagonal")).agg(
