@@ -40,17 +40,22 @@ PIVOTS = 16
 _COUNT_ROWS = 1 << 15
 
 
-def simhash(text: str | None, shingle: int = 3) -> int:
-    """Fingerprint of one text as an unsigned 64-bit number."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles of a text; a text of fewer words is one shingle."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return 0
     if len(words) < shingle:
-        grams = [b" ".join(words)]
+        grams = [b" ".join(words)] if words else []
     else:
         grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
     digest = partial(xxhash.xxh64_intdigest, seed=42)
-    hashes = np.fromiter(map(digest, grams), np.uint64)
+    return np.fromiter(map(digest, grams), np.uint64)
+
+
+def simhash(text: str | None, shingle: int = 3) -> int:
+    """Fingerprint of one text as an unsigned 64-bit number."""
+    hashes = shingle_hashes(text, shingle)
+    if not len(hashes):
+        return 0
     bits = np.zeros(64, np.int64)
     for at in range(0, len(hashes), _COUNT_ROWS):
         part = hashes[at : at + _COUNT_ROWS].astype("<u8").view(np.uint8).reshape(-1, 8)
