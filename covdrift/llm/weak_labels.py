@@ -5,8 +5,10 @@ maximisation finds how often each is right without any true label: given accurac
 pattern has a posterior of being good; given posteriors, each labeller has its accuracies. It needs the
 count of each pattern only, at most 3 ** labellers rows, over all documents.
 
-The posteriors then label a sample of ``TRAIN_ROWS`` documents (drawn by hash of the text; the one
-bounded step), and a logistic scorer on hashed word shapes is fitted to them. It scores all
+The posteriors then label a sample of about ``TRAIN_ROWS`` different texts (the one bounded step), and
+a logistic scorer on hashed word shapes is fitted to them. A text is drawn by its hash, at a chance
+that grows with its copies, and weighs as many documents as it stands for: a large group of copies is
+one row of the sample, and the sample does not depend on the order of tasks. The scorer judges all
 documents, so texts on which labellers are silent or split are judged as well.
 
 Features of a text: the shapes of its words ("Aa," for "Then,"), and how often a word repeats one
@@ -16,7 +18,7 @@ Defined cases: a text without words (null, empty, blank) has score 0 and is not
 than ``MIN_WORDS`` words has score 0.5 and is kept, and takes no part in training; repeated rows
 score alike; null ids are carried along; texts are read whole; other columns pass through. An
 empty table, or one on which all documents look alike, gives a scorer without weights (score 0.5,
-kept).
+kept). ``docs`` must be a stable table, as it is scanned more than once.
 """
 
 from __future__ import annotations
@@ -143,13 +145,21 @@ class Shapes:
         return np.sqrt(out)
 
 
-def fit(features: np.ndarray, labels: np.ndarray, rounds: int = FIT_ROUNDS) -> np.ndarray:
-    """Weights, bias last, of a logistic scorer on soft labels; classes count alike."""
+def fit(
+    features: np.ndarray, labels: np.ndarray, rounds: int = FIT_ROUNDS, counts: np.ndarray | None = None
+) -> np.ndarray:
+    """Weights, bias last, of a logistic scorer on soft labels; classes count alike.
+
+    Within its class a row counts as ``counts`` says, else as one.
+    """
     weights = np.zeros(features.shape[1] + 1)
     if not len(features) or labels.max() - labels.min() < 0.5:
         return weights
     x = np.hstack([features, np.ones((len(features), 1))]).astype(np.float32)
-    share = np.where(labels >= 0.5, 0.5 / labels[labels >= 0.5].size, 0.5 / max(1, (labels < 0.5).sum()))
+    share = np.ones(len(labels)) if counts is None else np.array(counts, float)
+    for side in (labels >= 0.5, labels < 0.5):
+        if side.any():
+            share[side] *= 0.5 / share[side].sum()
     speed = np.zeros_like(weights)
     for _ in range(rounds):
         guess = 1 / (1 + np.exp(-(x @ weights.astype(np.float32)).astype(float)))
@@ -159,34 +169,59 @@ def fit(features: np.ndarray, labels: np.ndarray, rounds: int = FIT_ROUNDS) -> n
     return weights
 
 
+def drawn(docs: DataFrame, rate: float, text: str = "text") -> DataFrame:
+    """(row, h, g, weight): one row of each text drawn, and how many documents it stands for.
+
+    A text of n copies is drawn at the chance n * ``rate``, at most 1, so the expected number of texts
+    is at most ``rate`` of the documents.
+    """
+    named = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.xxhash64(F.col(text)).alias("h"),
+        F.xxhash64(F.lit(1), F.col(text)).alias("g"),
+    )
+    chance = F.least(F.lit(1.0), F.col("n") * F.lit(float(rate)))
+    place = F.pmod(F.xxhash64(F.lit(2), "h", "g"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    each = named.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("row").alias("row"))
+    return each.where(place < chance).select("row", "h", "g", (F.col("n") / chance).alias("weight"))
+
+
 def train(
     docs: DataFrame,
     labellers: Mapping[str, Callable[[Document], int]] = LABELLERS,
     text: str = "text",
     rows: int = TRAIN_ROWS,
 ) -> np.ndarray:
-    """Weights of the scorer: patterns of all documents, then a fit on about ``rows`` of them."""
+    """Weights of the scorer: patterns of all documents, then a fit on about ``rows`` texts of them."""
     counts = {r["pattern"]: r["count"] for r in vote_patterns(docs, labellers, text).collect()}
     posterior, _ = estimate(counts)
     votes = tuple(labellers.values())
-    every = max(1, sum(counts.values()) // rows)
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shapes = Shapes()
         for batch in batches:
-            documents = [d for d in map(Document, batch["text"]) if len(d.words) >= MIN_WORDS]
+            documents = list(map(Document, batch["text"]))
+            batch = batch[[len(d.words) >= MIN_WORDS for d in documents]]
+            documents = [d for d in documents if len(d.words) >= MIN_WORDS]
             yield pd.DataFrame(
                 {
                     "x": [shapes(d).astype(np.float32).tobytes() for d in documents],
                     "y": [posterior["".join(str(v(d)) for v in votes)] for d in documents],
+                    "h": batch["h"].to_numpy(),
+                    "g": batch["g"].to_numpy(),
+                    "weight": batch["weight"].to_numpy(),
                 }
             )
 
-    drawn = docs.select(F.col(text).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0)
-    # Copies of one text hash alike: the limit holds however many there are.
-    sample = drawn.mapInPandas(featured, "x binary, y double").limit(2 * rows).toPandas()
+    # About ``rows`` rows of numbers: their texts are read where they lie.
+    chosen = F.broadcast(drawn(docs, min(1.0, rows / max(1, sum(counts.values()))), text))
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
+    sample = numbered.join(chosen, "row").select("text", "h", "g", "weight")
+    sample = sample.mapInPandas(featured, "x binary, y double, h long, g long, weight double").toPandas()
+    # Sums of one order: runs give equal weights.
+    sample = sample.sort_values(["h", "g"])
     x = np.array([np.frombuffer(b, np.float32) for b in sample["x"]]).reshape(len(sample), WIDTH)
-    return fit(x, sample["y"].to_numpy(float))
+    return fit(x, sample["y"].to_numpy(float), counts=sample["weight"].to_numpy(float))
 
 
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.5) -> DataFrame:

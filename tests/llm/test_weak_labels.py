@@ -4,9 +4,10 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from covdrift.llm.quality_rules import Document
-from covdrift.llm.weak_labels import LABELLERS, MIN_WORDS, accuracy, classify, estimate, vote_patterns
+from covdrift.llm.weak_labels import LABELLERS, MIN_WORDS, accuracy, classify, estimate, score, train, vote_patterns
 from tests.llm.helpers import docs, odd_texts
 
 
@@ -62,3 +63,19 @@ def test_held_out_accuracy(spark):
 def test_empty_table(spark):
     assert classify(docs(spark, [])).count() == 0
     assert [r.score for r in classify(docs(spark, ["a plain text of six words"] * 2)).collect()] == [0.5, 0.5]
+
+
+def test_a_large_copy_group_does_not_fill_the_sample(spark):
+    rng = random.Random(6)
+    texts = [prose(rng) for _ in range(150)] + [junk(rng, k % 3) for k in range(75)]
+    rows, copies = 200, 1100
+    every = (len(texts) + copies) // rows
+    # A text that a draw of every so-manyth hash takes, with all its copies.
+    tried = docs(spark, [prose(rng) for _ in range(60)]).selectExpr("text", f"pmod(xxhash64(text), {every}) AS m")
+    copied = tried.where("m = 0").first().text
+    frame = docs(spark, [copied] * copies + texts)
+    weights = train(frame, rows=rows)
+    assert np.abs(weights).max() > 0
+    scored = score(frame.where(f"doc_id >= {copies}"), weights).orderBy("doc_id").collect()
+    assert accuracy([r.kept for r in scored], [True] * 150 + [False] * 75) > 0.9
+    assert np.array_equal(weights, train(frame.orderBy(F.desc("doc_id")).repartition(5), rows=rows))
