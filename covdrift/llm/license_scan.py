@@ -4,8 +4,10 @@ Texts and templates are sequences of lower-case words. Every k consecutive words
 hashed and joined with the template positions of the same hash. A match of text position p and
 template position q votes for the diagonal p - q: a copy of the template, even an edited one, has
 its votes on one diagonal or a few neighbouring ones. Votes are added per diagonal, diagonals at
-most ``DRIFT`` apart are merged into a span, and a span is verified by the share of the template's
-k-grams that it holds, each counted once.
+most ``DRIFT`` apart are merged into a span. A span is verified by the share of the template's k-grams
+or words that it holds, each counted once. Templates of ``SHORT`` words or fewer are matched by pairs
+of words instead, and may miss the two words that one edit costs. What names the license must be
+unbroken in any case (``NAMED``): an edit there makes it another license.
 
 The template table is a parameter of a few hundred rows (``MAX_GRAMS`` at most, checked), so it is
 broadcast; a document's grams only leave their task where they match. One marker per document goes
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 from covdrift.llm.common import lower_ascii
 
 K = 3
+SHORT = 12
 DRIFT = 4
 MIN_SHARE = 0.8
 MAX_GRAMS = 100_000
+_ABOUT = "struct<size:int,count:int,must:array<int>>"
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases of the base, and their labels.
 PHRASES = {
@@ -59,6 +63,81 @@ TEMPLATES = {
         "provided that the following conditions are met",
     ),
     "cc-by-nc-line": ("cc-by-nc-4.0", "licensed under cc by nc 4 0"),
+    "cc-by-sa-line": ("cc-by-sa-4.0", "licensed under cc by sa 4 0"),
+    "cc-by-sa-notice": (
+        "cc-by-sa-4.0",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+    ),
+    "mit-license": ("mit", "licensed under the mit license"),
+    "mit-condition": (
+        "mit",
+        "the above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the software",
+    ),
+    "mit-warranty": (
+        "mit",
+        "the software is provided as is without warranty of any kind express or implied including but "
+        "not limited to the warranties of merchantability fitness for a particular purpose and "
+        "noninfringement in no event shall the authors or copyright holders be liable for any claim "
+        "damages or other liability whether in an action of contract tort or otherwise arising from out "
+        "of or in connection with the software or the use or other dealings in the software",
+    ),
+    "bsd-warranty": (
+        "bsd",
+        "this software is provided by the copyright holders and contributors as is and any express or "
+        "implied warranties including but not limited to the implied warranties of merchantability and "
+        "fitness for a particular purpose are disclaimed in no event shall the copyright holder or "
+        "contributors be liable for any direct indirect incidental special exemplary or consequential "
+        "damages",
+    ),
+    "apache-v2": ("apache-2.0", "licensed under the apache license v2 0"),
+    "apache-2": ("apache-2.0", "licensed under the apache license 2 0"),
+    "apache-software": ("apache-2.0", "apache software license version 2 0"),
+    "apache-notice": (
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in "
+        "compliance with the license you may obtain a copy of the license at",
+    ),
+    "apache-warranty": (
+        "apache-2.0",
+        "unless required by applicable law or agreed to in writing software distributed under the "
+        "license is distributed on an as is basis without warranties or conditions of any kind either "
+        "express or implied see the license for the specific language governing permissions and "
+        "limitations under the license",
+    ),
+    "gpl-short": ("gpl-3.0", "licensed under the gnu gpl version 3"),
+    "lgpl-notice": (
+        "lgpl",
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public "
+        "license as published by the free software foundation",
+    ),
+    "lgpl-line": ("lgpl", "licensed under the gnu lesser general public license"),
+    "mpl-notice": (
+        "mpl-2.0",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of "
+        "the mpl was not distributed with this file you can obtain one at",
+    ),
+    "mpl-line": ("mpl-2.0", "licensed under the mozilla public license version 2 0"),
+}
+#: Phrases of a template that a copy must hold word for word.
+NAMED = {
+    "mit-line": ["mit license"],
+    "mit-license": ["mit license"],
+    "apache-line": ["apache license", "2 0"],
+    "apache-v2": ["apache license", "v2 0"],
+    "apache-2": ["apache license", "2 0"],
+    "apache-software": ["apache software license", "2 0"],
+    "apache-notice": ["the apache license"],
+    "gpl-line": ["gnu general public license", "version 3"],
+    "gpl-short": ["gnu gpl", "version 3"],
+    "gpl-notice": ["gnu general public license"],
+    "lgpl-line": ["gnu lesser general public license"],
+    "lgpl-notice": ["gnu lesser general public license"],
+    "mpl-line": ["mozilla public license", "2 0"],
+    "mpl-notice": ["mozilla public license"],
+    "cc-by-nc-line": ["cc by nc 4 0"],
+    "cc-by-sa-line": ["cc by sa 4 0"],
+    "cc-by-sa-notice": ["attribution sharealike 4 0"],
 }
 
 
@@ -73,24 +152,49 @@ def template_words(text: str) -> list[str]:
     return [w for w in re.split(_SPLIT, lowered) if w]
 
 
-def template_grams(spark: SparkSession, templates: Mapping[str, tuple[str, str]], k: int) -> DataFrame:
-    """(gram, template, q, label, grams): the hashed k-grams of each template."""
+def template_grams(
+    spark: SparkSession,
+    templates: Mapping[str, tuple[str, str]],
+    k: int,
+    named: Mapping[str, list[str]] = NAMED,
+) -> DataFrame:
+    """(gram, template, q, label, grams, about): the hashed grams of each template.
+
+    ``about`` has the words of a gram and of the template, and the grams that must be there.
+    """
     rows = []
     for name, (label, text) in templates.items():
         words = template_words(text)
         if len(words) < k:
             raise ValueError(f"template {name} has fewer than {k} words")
-        grams = len(words) - k + 1
+        size = min(k, 2) if len(words) <= SHORT else k
+        grams = len(words) - size + 1
+        must = set()
+        for phrase in named.get(name, []):
+            part = phrase.split()
+            at = [i for i in range(len(words)) if words[i : i + len(part)] == part]
+            if not at or len(part) < size:
+                raise ValueError(f"template {name} cannot be tested for {phrase}")
+            must |= set(range(at[0], at[0] + len(part) - size + 1))
+        about = {"size": size, "count": len(words), "must": sorted(must)}
         rows += [
-            {"words": words[q : q + k], "template": name, "q": q, "label": label, "grams": grams}
+            {"words": words[q : q + size], "template": name, "q": q, "label": label, "grams": grams, "about": about}
             for q in range(grams)
         ]
     if len(rows) > MAX_GRAMS:
         raise ValueError(f"{len(rows)} template grams are more than {MAX_GRAMS}")
-    kind = "array<struct<words:array<string>,template:string,q:int,label:string,grams:int>>"
+    kind = f"array<struct<words:array<string>,template:string,q:int,label:string,grams:int,about:{_ABOUT}>>"
     frame = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), kind)))
-    gram = F.xxhash64(*[F.get("words", i) for i in range(k)])
-    return frame.select(gram.alias("gram"), "template", "q", "label", "grams")
+    gram = reduce(
+        lambda other, size: F.when(F.size("words") == size, _hashed("words", F.lit(0), size)).otherwise(other),
+        {min(k, 2), k},
+        F.lit(None).cast("long"),
+    )
+    return frame.select(gram.alias("gram"), "template", "q", "label", "grams", "about")
+
+
+def _hashed(words: str, at: Column, size: int) -> Column:
+    return F.xxhash64(*[F.get(words, at + n) for n in range(size)])
 
 
 def phrase_places(words: Column, phrases: Mapping[str, str]) -> Column:
@@ -134,23 +238,26 @@ def scan(
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", words_of(F.col(text)).alias("words")
     )
-    rolled = F.transform(
-        F.sequence(F.lit(0), F.size("words") - k),
-        lambda i: F.struct(i.alias("p"), F.xxhash64(*[F.get("words", i + n) for n in range(k)]).alias("gram")),
-    )
+    def rolled(size: int) -> Column:
+        grams = F.transform(
+            F.sequence(F.lit(0), F.size("words") - size),
+            lambda i: F.struct(i.alias("p"), _hashed("words", i, size).alias("gram")),
+        )
+        return F.when(F.size("words") >= size, grams).otherwise(F.array().cast("array<struct<p:int,gram:bigint>>"))
+
     marker = F.struct(F.lit(-1).alias("p"), F.lit(0).cast("long").alias("gram"))
     rows = rows.select(
         "row",
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         phrase_places(F.col("words"), phrases).alias("base"),
-        F.when(F.size("words") >= k, F.concat(F.array(marker), rolled)).otherwise(F.array(marker)).alias("at"),
+        F.concat(F.array(marker), *[rolled(size) for size in sorted({min(k, 2), k})]).alias("at"),
     )
     each = rows.select("row", "doc_id", "n_words", "base", F.explode("at").alias("at"))
     each = each.select("row", "doc_id", "n_words", F.when(F.col("at.p") < 0, F.col("base")).alias("base"), "at.p", "at.gram")
     kept = grams.sparkSession.range(1).selectExpr(
         "cast(0 as bigint) as gram", "cast(null as string) as template", "-1 as q",
-        "cast(null as string) as label", "0 as grams",
+        "cast(null as string) as label", "0 as grams", f"cast(null as {_ABOUT}) as about",
     )
     votes = each.join(F.broadcast(grams.union(kept)), "gram").where((F.col("p") < 0) == F.col("template").isNull())
     diagonal = F.when(F.col("p") >= 0, F.col("p") - F.col("q"))
@@ -158,6 +265,7 @@ def scan(
         F.first("base", ignorenulls=True).alias("base"),
         F.min("p").alias("first"),
         F.max("p").alias("last"),
+        F.first("about").alias("about"),
         F.collect_set("q").alias("held"),
     )
     near = Window.partitionBy("row", "template").orderBy("diagonal")
@@ -166,12 +274,19 @@ def scan(
     spans = grouped.groupBy("row", "doc_id", "n_words", "template", "label", "grams", "span").agg(
         F.first("base", ignorenulls=True).alias("base"),
         F.min("first").alias("first"),
-        (F.max("last") + k - 1).alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("held")))).alias("held"),
+        (F.max("last") + F.first("about.size") - 1).alias("last"),
+        F.first("about").alias("about"),
+        F.array_distinct(F.flatten(F.collect_list("held"))).alias("held"),
     )
-    share = F.col("held") / F.col("grams")
+    share = F.size("held") / F.col("grams")
+    covered = F.transform("held", lambda q: F.sequence(q, q + F.col("about.size") - 1))
+    covered = F.size(F.array_distinct(F.flatten(covered)))
+    # One edit costs a short notice two words at most: its own, and a neighbour that it cuts off.
+    least = F.col("about.count") * F.lit(min_share)
+    least = F.when(F.col("about.count") <= SHORT, F.least(least, F.col("about.count") - 2)).otherwise(least)
+    whole = F.size(F.array_except("about.must", "held")) == 0
     span = F.struct("template", "label", "first", "last", share.alias("share"))
-    good = F.col("template").isNotNull() & (share >= min_share)
+    good = F.col("template").isNotNull() & whole & ((share >= min_share) | (covered >= least))
     return spans.groupBy("row", "doc_id", "n_words").agg(
         F.first("base", ignorenulls=True).alias("base"),
         F.array_sort(F.collect_list(F.when(good, span))).alias("spans"),

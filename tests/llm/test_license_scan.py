@@ -78,3 +78,30 @@ def test_empty_table_and_repeated_rows(spark):
     assert scan(docs(spark, [])).count() == 0
     rows = labelled(scan(docs(spark, ["cc by"] * 3, ids=[None, 4, 4]))).collect()
     assert [r.labels for r in rows] == ["cc-by"] * 3 and re.match("1", str(rows[0].score))
+
+
+def test_edited_notices_keep_their_label_and_other_licenses_do_not(spark):
+    warranty = TEMPLATES["bsd-warranty"][1].replace("contributors as is", "authors as they are")
+    lgpl = (
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation"
+    )
+    want = {
+        "Licensed under the MIT License": "mit",
+        "Released under the permissive MIT License.": "mit",
+        "Licensed under the Apache License v2.0": "apache-2.0",
+        "Apache Software License, Version 2.0": "apache-2.0",
+        "Distributed under the Apache License, Version 2.0": "apache-2.0",
+        "licensed under the GNU GPL, version 3": "gpl-3.0",
+        "provided under the GNU GPL, version 3": "gpl-3.0",
+        "This tool is licensed under the GNU General Public License, version 3.": "gpl,gpl-3.0",
+        "Licensed under the Mozilla Public License, v. 2.0": "mpl-2.0",
+        "Published under CC BY-SA 4.0": "cc-by,cc-by-sa-4.0",
+        warranty: "bsd",
+        "This library is free software: " + lgpl: "gpl,lgpl",
+        "Licensed under the GNU GPL, version 2": "",
+        "Released under the house license": "",
+        "Licensed under CC BY 4.0": "cc-by",
+    }
+    rows = labelled(scan(docs(spark, list(want)))).orderBy("doc_id").collect()
+    assert {t: r.labels for t, r in zip(want, rows, strict=True)} == want
