@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: A word of the size contracts: a run of anything but space, tab, LF, VT, FF and CR.
@@ -35,6 +35,22 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with its place (from 0) in a total order, by a range sort: no task sees all rows.
+
+    A row's place is its place in its range partition plus the rows of the partitions before it,
+    of which there is one count per partition. ``df`` should be a written table: it is read twice.
+    """
+    sort = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stored(sort.withColumn("_at", F.monotonically_increasing_id()))
+    part, at = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    joined = placed.withColumn("_part", part).join(starts, "_part")
+    return joined.withColumn(name, F.col("_start") + at).drop("_part", "_start", "_at")
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, UPPER.lower())
