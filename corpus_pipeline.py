@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covdrift.llm import line_dedup, mixing, near_copies, packing, quality_rules
+from covdrift.llm import line_dedup, mixing, packing, quality_rules, simhash
 from covdrift.llm.common import ensure_checkpoint_dir
 from covdrift.llm.queries import tokenizer_path
 
@@ -29,8 +29,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
-    return near_copies.keep_one(docs)
+    """One document of each group that SimHash links stays, with the operator's own settings."""
+    return simhash.keep_one(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
