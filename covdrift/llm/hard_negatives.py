@@ -1,8 +1,8 @@
 """Hard-negative mining with rotated one-bit codes and deterministic residual intervals.
 
 Vectors become integers. Each is rotated (sign flips and Hadamard transforms) and coded by
-``LEVELS`` one-bit codes: the signs of what is left, stored with the code vector's alignment, its
-inner product with what is left, which is then taken off. Anchors have more levels. The inner
+``LEVELS`` one-bit codes: the signs of what is left, stored with the code vector's alignment, which
+is how much of the vector lies along it and is then taken off. Anchors have more levels. The inner
 product of two vectors is estimated from the pop counts of their codes' differing bits, weighed by
 the alignments. By the Cauchy-Schwarz inequality it differs from the true one by no more than the
 lengths of the two residuals allow, so each pair has an interval that holds its score for certain.
@@ -47,7 +47,7 @@ SEED = 29
 _ROWS, _ANCHORS = 4096, 64
 _NONE = -(1 << 62)
 
-_CODED = "vec_id long, label long, vector binary, codes binary, alignments binary, code_length float, residual float"
+_CODED = "vec_id long, label long, vector binary, codes binary, alignments binary, length float, residual float, near float"
 
 
 def _rotation(width: int, seed: int) -> np.ndarray:
@@ -60,19 +60,28 @@ def _rotation(width: int, seed: int) -> np.ndarray:
 
 
 def code_rows(vectors: np.ndarray, rotation: np.ndarray, levels: int) -> tuple[np.ndarray, ...]:
-    """Codes (n, levels, words), alignments (n, levels), and lengths of coded part and residual."""
+    """Codes (n, levels, words), alignments (n, levels), and three lengths per row.
+
+    They are those of the vector, of its residual, and of the residual's part in the space of the
+    vectors, which is all of it unless the rotation has more dimensions than they have.
+    """
     n, d = vectors.shape
     width = len(rotation)
     turned = vectors.astype(np.float64) @ rotation[:d]
     left = turned.copy()
     codes = np.zeros((n, levels, width // 64), np.uint64)
-    alignments = np.zeros((n, levels))
+    signs = np.zeros((n, levels, width))
     for level in range(levels):
-        up = left >= 0
-        codes[:, level] = np.packbits(up, axis=1).view(np.uint64)
-        alignments[:, level] = np.abs(left).sum(axis=1) / math.sqrt(width)
-        left -= np.where(up, 1.0, -1.0) * (alignments[:, level] / math.sqrt(width))[:, None]
-    return codes, alignments, np.linalg.norm(turned - left, axis=1), np.linalg.norm(left, axis=1)
+        signs[:, level] = np.where(left >= 0, 1.0, -1.0) / math.sqrt(width)
+        codes[:, level] = np.packbits(left >= 0, axis=1).view(np.uint64)
+        # Alignments of all codes so far at once, as codes of one vector are not orthogonal.
+        mine = signs[:, : level + 1]
+        gram = mine @ mine.transpose(0, 2, 1) + 1e-9 * np.eye(level + 1)
+        alignments = np.linalg.solve(gram, mine @ turned[:, :, None]).astype(np.float32)
+        left = turned - (alignments.transpose(0, 2, 1) @ mine)[:, 0]
+    alignments = alignments[:, :, 0]
+    lengths = (np.linalg.norm(x, axis=1) for x in (turned, left, left @ rotation[:d].T))
+    return codes, alignments, *lengths
 
 
 def _coded(vectors: DataFrame, dims: int, seed: int, levels: int) -> DataFrame:
@@ -93,7 +102,7 @@ def _coded(vectors: DataFrame, dims: int, seed: int, levels: int) -> DataFrame:
             if len(values) and np.abs(values).max() > limit:
                 raise ValueError(f"components must not exceed {limit / SCALE} in size")
             ints = values.astype("<i8")
-            codes, alignments, length, residual = code_rows(ints, rotation, levels)
+            codes, alignments, *lengths = code_rows(ints, rotation, levels)
             rows = [np.ascontiguousarray(a.reshape(len(ints), -1)) for a in (ints, codes, alignments.astype("<f4"))]
             mine = batch.filter(pa.array(whole))
             yield pa.RecordBatch.from_arrays(
@@ -101,10 +110,9 @@ def _coded(vectors: DataFrame, dims: int, seed: int, levels: int) -> DataFrame:
                     mine.column(0).cast(pa.int64()),
                     mine.column(1).cast(pa.int64()),
                     *(pa.array([r.tobytes() for r in a], pa.binary()) for a in rows),
-                    pa.array(length.astype(np.float32)),
-                    pa.array(residual.astype(np.float32)),
+                    *(pa.array(x.astype(np.float32)) for x in lengths),
                 ],
-                names=["vec_id", "label", "vector", "codes", "alignments", "code_length", "residual"],
+                names=["vec_id", "label", "vector", "codes", "alignments", "length", "residual", "near"],
             )
 
     return vectors.select("vec_id", "label", "embedding").mapInArrow(run, _CODED)
@@ -124,11 +132,12 @@ class Coded:
         if levels is None:
             self.codes = np.frombuffer(b"".join(batch["codes"]), np.uint64).reshape(n, -1, width // 64)
             self.alignments = np.frombuffer(b"".join(batch["alignments"]), "<f4").reshape(n, self.codes.shape[1])
-            self.length, self.residual = (batch[c].to_numpy(np.float32) for c in ("code_length", "residual"))
+            lengths = (batch[c].to_numpy(np.float32) for c in ("length", "residual", "near"))
         else:
             found = code_rows(self.vectors, _rotation(width, seed), levels)
             self.codes, *rest = found
-            self.alignments, self.length, self.residual = (a.astype(np.float32) for a in rest)
+            self.alignments, *lengths = (a.astype(np.float32) for a in rest)
+        self.length, self.residual, self.near = lengths
 
 
 def bounds(anchors: Coded, a: np.ndarray, rows: Coded, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -145,11 +154,13 @@ def bounds(anchors: Coded, a: np.ndarray, rows: Coded, r: np.ndarray) -> tuple[n
                 count = count + np.bitwise_count(mine[:, None, word] ^ code[None, :, word]).astype(np.uint16)
             differing += count * anchors.alignments[a, j][:, None]
         total -= differing * (rows.alignments[r, i] * np.float32(2 / bits))
-    coded_a, left_a = anchors.length[a][:, None], anchors.residual[a][:, None]
-    coded_r, left_r = rows.length[r], rows.residual[r]
-    # What the codes leave out, and a margin for single-precision sums.
-    gap = (coded_a + left_a) * left_r + left_a * coded_r
-    gap = gap * 1.0001 + 1e-5 * (coded_a + left_a) * (coded_r + left_r) + 0.01
+    length_a, residual_a, near_a = (x[a][:, None] for x in (anchors.length, anchors.residual, anchors.near))
+    length_r, residual_r, near_r = (x[r] for x in (rows.length, rows.residual, rows.near))
+    # What the codes leave out, and a margin for single-precision sums. With o = c + r and q = d + s,
+    # <o, q> - <c, d> = <r, q> + <o, s> - <r, s>.
+    gap = near_r * length_a + near_a * length_r + residual_a * residual_r
+    summed = np.outer(np.abs(anchors.alignments[a]).sum(axis=1), np.abs(rows.alignments[r]).sum(axis=1))
+    gap = gap * 1.0001 + 1e-5 * (length_a * length_r + summed) + 0.01
     return total - gap, total + gap
 
 

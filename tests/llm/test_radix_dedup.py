@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from covdrift.llm import queries, radix_dedup
+from covdrift.llm.radix_dedup import GROWTH, HEAD, WIDTH, classes, keep_one
+from tests.llm.helpers import docs, odd_texts, words
+
+
+def brute(texts, ids):
+    """Per row: keep_id, group size and whether a row of its id and text stays."""
+    groups = {}
+    for i, t in zip(ids, texts):
+        groups.setdefault(t or "", []).append(i)
+    best = {t: max(g, key=lambda i: (i is not None, i or 0)) for t, g in groups.items()}
+    return sorted(((i, best[t or ""], len(groups[t or ""])) for i, t in zip(ids, texts)), key=repr)
+
+
+def given():
+    """Texts that part at every digit, at its first and last byte, and copies of each."""
+    rng = random.Random(4)
+    base = words(rng, 4000)
+    edges = [HEAD]
+    while edges[-1] < len(base):
+        edges.append(edges[-1] + WIDTH * GROWTH ** (len(edges) - 1))
+    texts = [base] * 5
+    for edge in edges:
+        for at in (edge - 1, edge):
+            if at < len(base):
+                texts += [base[:at] + "#" + base[at + 1 :]] * rng.randrange(1, 4)
+        texts += [base[:edge]] * 2 + [base[: edge - 1] + "#"] * 2 + [base[: edge + 1]]
+    return texts + odd_texts() + ["", None, "é" * 8, "é" * 8, "e" * 16, "hot"] + ["hot line"] * 200
+
+
+@pytest.mark.parametrize("tile", [7, 4096])
+def test_groups_match_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(radix_dedup, "TILE", tile)
+    texts = given()
+    ids = list(range(len(texts)))
+    random.Random(1).shuffle(ids)
+    rows = classes(docs(spark, texts, ids=ids).repartition(5)).collect()
+    got = sorted(((r.doc.doc_id, r.keep_id, r.group_size) for r in rows), key=repr)
+    assert got == brute(texts, ids)
+    assert all(r.kept == (r.doc.doc_id == r.keep_id) for r in rows)
+
+
+def test_repeated_and_missing_ids_keep_one_row(spark):
+    texts = ["same text of some length"] * 6 + ["no id"] * 3 + ["alone", None, ""]
+    ids = [7, 7, None, 3, 7, None] + [None] * 3 + [None, 1, None]
+    frame = docs(spark, texts, ids=ids).repartition(3)
+    rows = classes(frame).collect()
+    assert sorted(((r.doc.doc_id, r.keep_id, r.group_size) for r in rows), key=repr) == brute(texts, ids)
+    kept = keep_one(frame)
+    assert kept.columns == frame.columns and kept.schema == frame.schema
+    assert sorted(r.text or "" for r in kept.collect()) == sorted({t or "" for t in texts})
+
+
+def test_clashing_names_and_empty_table(spark):
+    frame = docs(spark, ["x", "x", "y"]).selectExpr(
+        "*", "1 as `group`", "2 as digit", "3 as kept", "4 as `a.b`", "5 as head", "6 as length", "7 as doc"
+    )
+    assert sorted(r.doc_id for r in keep_one(frame).collect()) == [1, 2]
+    assert keep_one(frame).columns == frame.columns
+    assert classes(docs(spark, [])).count() == 0
+
+
+def test_query_reads_the_whole_table(spark, folder):
+    texts = given()
+    docs(spark, texts).repartition(4).write.parquet(f"{folder}/documents.parquet")
+    rows = queries.op11_radix_dedup(spark, folder).collect()
+    got = sorted(((r.doc_id, r.keep_id, r.group_size) for r in rows), key=repr)
+    assert got == brute(texts, list(range(len(texts))))
