@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from covdrift.operators.charges import classify, dispense_charges, last_dispense
 from covdrift.operators.coverage import (
     change_after_dispense,
     current_primary,
+    in_force_at,
     primary_at_dispense,
     recent_primary_change,
     recent_primary_edits,
@@ -38,13 +40,23 @@ from covdrift.operators.reminders import (
     suppress_open,
 )
 from covdrift.operators.schedule import next_appointment, open_appointments
-from covdrift.operators.snapshot import alert_text, coverage_snapshot, snapshot_drift
+from covdrift.operators.snapshot import (
+    COVERAGE_FIELDS,
+    alert_text,
+    approval_sources,
+    coverage_snapshot,
+    dispense_sources,
+    snapshot_drift,
+    unresolved,
+)
 from covdrift.operators.users import patient_alerts, resolve_user, unattributed, user_alerts
-from covdrift.operators.work import staged
+from covdrift.operators.work import staged, work_folder
 from covdrift.plans import alert_report as report
 from covdrift.plans import reminders
-from covdrift.sinks.reports import report_metrics
-from covdrift.sources.adapter import AS_OF, AS_OF_TS, TEST_PARAMS, TEST_RULES, TestTables
+from covdrift.schemas import SCHEMAS, conform
+from covdrift.sinks.reports import numbered_candidates, numbered_report, report_metrics
+from covdrift.sinks.store import ReminderStore
+from covdrift.sources.adapter import AS_OF, AS_OF_TS, TEST_PARAMS, TEST_RULES, VIEWS, TestTables
 
 P = TEST_PARAMS
 MARKER = P.routing.marker
@@ -110,6 +122,27 @@ def _flat(outbox: DataFrame) -> DataFrame:
     return outbox.withColumn("employees", F.array_join("employees", "; "))
 
 
+def run_tables(t: TestTables) -> dict[str, DataFrame]:
+    """The tables of a run: its logs hold entries near the coverage edits as well."""
+    tables = {name: t[name] for name in VIEWS}
+    for log, near in (("edit_log_header", "coverage_edit_log"), ("audit_trail", "coverage_audit_trail")):
+        tables[log] = t[log].unionByName(conform(t[near], SCHEMAS[log]))
+    return tables
+
+
+def _applied(t: TestTables) -> tuple[ReminderStore, reminders.ReminderRun]:
+    """An applied run in a store of its own, which starts with the test table's reminders.
+
+    Run again under its id, as by several queries of a session, it reads what it stored.
+    """
+    spark = t["todo"].sparkSession
+    session = hashlib.md5(f"{spark.sparkContext.applicationId} {t.folder}".encode()).hexdigest()
+    store = ReminderStore(spark, f"{work_folder(spark)}/store-{session}", buckets=8).create()
+    if not store.committed("before"):
+        store.commit("before", 0, {name: t[name] for name in ("todo", "tobe_done_detail")})
+    return store, reminders.run_reminders(run_tables(t), P, store, "run", apply=True)
+
+
 @query("classify_dispense")
 def _classify_dispense(t):
     return classify(t["billing_master"], "billing_id", "descr", TEST_RULES)
@@ -327,3 +360,63 @@ def _snapshot_changes(t):
     by_drug = _last_by_drug(t)
     snapshots = coverage_snapshot(by_drug, primary_at_dispense(by_drug, t["patient_insurance"]))
     return snapshot_drift(snapshots, current_primary(t["patient_insurance"], AS_OF))
+
+
+@query("coverage_at_events")
+def _coverage_at_events(t):
+    approved = approval_sources(t["approval"]).select("patient_id", "biologic_drug", "source_event", "source_tran_id", "source_date")
+    sources = dispense_sources(_charges(t, 36_500)).select(*approved.columns).union(approved.distinct())
+    dated = staged(sources.withColumnRenamed("source_date", "event_date"))
+    found = in_force_at(dated, t["patient_insurance"]).select("patient_id", "event_date", "sr_id", *COVERAGE_FIELDS)
+    return dated.join(found, ["patient_id", "event_date"])
+
+
+@query("snapshot_state")
+def _snapshot_state(t):
+    return _applied(t)[0].snapshots()
+
+
+@query("open_snapshot_drift")
+def _open_snapshot_drift(t):
+    return snapshot_drift(unresolved(_applied(t)[0].snapshots()), current_primary(t["patient_insurance"], AS_OF))
+
+
+@query("alert_report_ordered")
+def _alert_report_ordered(t):
+    return numbered_report(report.alert_report(t, P))
+
+
+@query("candidates_ordered")
+def _candidates_ordered(t):
+    return numbered_candidates(reminders.reminder_candidates(t, P))
+
+
+@query("pipeline_todo")
+def _pipeline_todo(t):
+    return _applied(t)[0].todo()
+
+
+@query("pipeline_details")
+def _pipeline_details(t):
+    return _applied(t)[0].details()
+
+
+@query("pipeline_attribution")
+def _pipeline_attribution(t):
+    return _applied(t)[1].attributed
+
+
+@query("pipeline_user_alerts")
+def _pipeline_user_alerts(t):
+    return user_alerts(_applied(t)[1].attributed, t["patient_master"])
+
+
+@query("pipeline_unattributed")
+def _pipeline_unattributed(t):
+    run = _applied(t)[1]
+    return unattributed(run.batch, run.attributed)
+
+
+@query("outbox_payload")
+def _outbox_payload(t):
+    return _flat(_applied(t)[1].outbox)

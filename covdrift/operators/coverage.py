@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from covdrift.functions.predicates import at_midnight, is_active, valid_on, wall_clock
 from covdrift.operators.latest import latest_per
+from covdrift.operators.narrow import keys_of, only_keys
+from covdrift.operators.work import staged
 
 PRIMARY = "P"
 
@@ -78,6 +80,66 @@ def primary_at_dispense(
     )
 
 
+def _blocks(first: str, last: str, levels: int) -> Column:
+    """The fewest aligned blocks (level, block) that make up the days from ``first`` to ``last``.
+
+    A block of level k is 2**k days long. Of each level at most the outermost two are needed: the
+    first where its number is odd, the last where it is even; all between lie in larger blocks.
+    """
+    low = f"shiftright({first} + shiftleft(1L, k) - 1L, k)"
+    high = f"(shiftright({last} + 1L, k) - 1L)"
+    level = f"""array(
+        if({low} <= {high} and {low} % 2 = 1, named_struct('level', k, 'block', {low}), null),
+        if({low} <= {high} and {high} % 2 = 0, named_struct('level', k, 'block', {high}), null))"""
+    return F.expr(f"filter(flatten(transform(sequence(0, {levels}), k -> {level})), b -> b is not null)")
+
+
+def in_force_at(events: DataFrame, insurance: DataFrame) -> DataFrame:
+    """Primary row in force on each (patient_id, event_date): (patient_id, event_date, row's columns).
+
+    Of the rows valid on a day the latest to start counts, then the highest row id. Events are not
+    paired with a patient's rows: a row is stored under the few aligned blocks of days that make
+    up its validity, where only the best row per block is kept, and a day is looked up under the
+    one block of each size that holds it. A patient costs at most one row per day and block size,
+    however many events and rows it has, and its blocks lie in many partitions.
+    """
+    days = staged(events.where("patient_id is not null and event_date is not null").select("patient_id", "event_date").distinct())
+    bounds = days.agg(F.min("event_date"), F.max("event_date")).first()
+    # Only days asked for matter, so the blocks cover these.
+    first = bounds[0] or date(1900, 1, 1)
+    span = (bounds[1] - bounds[0]).days if bounds[0] else 0
+    levels = span.bit_length()
+    origin = f"date'{first.isoformat()}'"
+    rows = only_keys(_primary_rows(insurance), "patient_id", keys_of(days, "patient_id")).select(
+        "patient_id",
+        F.expr(f"greatest(coalesce(datediff(start_date, {origin}), 0), 0)").cast("long").alias("_first"),
+        F.expr(f"least(coalesce(datediff(end_date, {origin}), {span}), {span})").cast("long").alias("_last"),
+        F.struct(
+            F.coalesce("start_date", F.lit(date(1900, 1, 1))).alias("_start"),
+            F.col("sr_id").alias("_id"),
+            F.struct(*[F.col(c) for c in insurance.columns if c != "patient_id"]).alias("row"),
+        ).alias("_row"),
+    )
+    best = (
+        rows.where("_first <= _last")
+        .select("patient_id", "_row", F.explode(_blocks("_first", "_last", levels)).alias("_at"))
+        .groupBy("patient_id", "_at.level", "_at.block")
+        .agg(F.max("_row").alias("_row"))
+    )
+    looked = days.select(
+        "patient_id",
+        "event_date",
+        F.expr(f"cast(datediff(event_date, {origin}) as bigint)").alias("_day"),
+        F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"),
+    ).withColumn("block", F.expr("shiftright(_day, level)"))
+    found = (
+        looked.join(best, ["patient_id", "level", "block"])
+        .groupBy("patient_id", "event_date")
+        .agg(F.max("_row").alias("_row"))
+    )
+    return found.select("patient_id", "event_date", "_row.row.*")
+
+
 def change_after_dispense(last_dispense: DataFrame, change: DataFrame) -> DataFrame:
     """Last dispenses whose patient's newest change came after and is more than an edit.
 

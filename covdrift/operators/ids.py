@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covdrift.operators.work import staged
@@ -16,32 +18,40 @@ def max_id(table: DataFrame, id_col: str = "tran_id") -> DataFrame:
     return table.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("max_id"))
 
 
-def assign_ids(df: DataFrame, base: DataFrame, key: str, id_col: str) -> DataFrame:
-    """Add ``id_col`` = base + 1, base + 2, ... in the order of the unique ``key``.
+def positions(df: DataFrame, order: Sequence[Column], name: str, before: DataFrame | None = None) -> DataFrame:
+    """Add ``name`` = 1, 2, ... in a total ``order``, after as many as ``before`` (max_id) says.
 
     Rows are staged first, as range partitioning reads its input twice. They are partitioned and
-    sorted by key, and their position is staged too, so a lost executor cannot shift it. Each
-    partition's first id follows from the row counts of those before it: one row per partition,
-    small enough to broadcast.
+    sorted, and their position is staged too, so a lost executor cannot shift it. Each partition's
+    first number follows from the row counts of those before it: one row per partition, small
+    enough to broadcast.
     """
     placed = staged(
         staged(df)
-        .repartitionByRange(F.col(key).asc())
-        .sortWithinPartitions(F.col(key).asc())
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )
     part = F.shiftright("_at", ROW_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     # The highest id in use stands before the first partition, as if it were that many rows.
-    sizes = sizes.unionByName(
-        base.select(F.lit(-1).cast("bigint").alias("_part"), F.col("max_id").alias("_rows"))
+    first = F.lit(-1).cast("bigint").alias("_part")
+    start = (
+        df.sparkSession.range(1).select(first, F.lit(0).cast("bigint").alias("_rows"))
+        if before is None
+        else before.select(first, F.col("max_id").alias("_rows"))
     )
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.sum("_rows").over(earlier).alias("_start"))
+    starts = sizes.unionByName(start).select("_part", F.sum("_rows").over(earlier).alias("_start"))
     row = F.col("_at").bitwiseAND((1 << ROW_BITS) - 1)
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
-        .withColumn(id_col, F.col("_start") + row + 1)
+        .withColumn(name, F.col("_start") + row + 1)
         .drop("_at", "_part", "_start")
     )
+
+
+def assign_ids(df: DataFrame, base: DataFrame, key: str, id_col: str) -> DataFrame:
+    """Add ``id_col`` = base + 1, base + 2, ... in the order of the unique ``key``."""
+    return positions(df, [F.col(key).asc()], id_col, base)

@@ -34,6 +34,7 @@ from covdrift.operators.outbox import (
     with_payload,
 )
 from covdrift.operators.reminders import (
+    as_detail,
     as_todo,
     detail_rows,
     missing_details,
@@ -41,6 +42,13 @@ from covdrift.operators.reminders import (
     reminder_rows,
     suppress_open,
 )
+from covdrift.operators.snapshot import (
+    approval_sources,
+    dispense_sources,
+    new_events,
+    resolution_events,
+    taken_events,
+)
 from covdrift.operators.users import patient_alerts, resolve_user, unattributed, user_alerts
 from covdrift.operators.work import staged
 from covdrift.params import Params
@@ -167,6 +175,21 @@ def attributed_changes(
     return resolve_user(audited, tables["emp_master"])
 
 
+def coverage_events(tables: Mapping[str, DataFrame], params: Params) -> DataFrame:
+    """What a run knows of coverage snapshots: recent dispenses, approvals and resolutions.
+
+    ``approval`` and ``resolution`` are optional tables; see ``operators.snapshot``.
+    """
+    charges = dispense_charges(tables, params.rules, params.as_of, params.dispense_lookback_days)
+    sources = dispense_sources(charges)
+    if "approval" in tables:
+        sources = sources.unionByName(approval_sources(tables["approval"]), allowMissingColumns=True)
+    events = taken_events(staged(sources), tables["patient_insurance"])
+    if "resolution" in tables:
+        events = events.unionByName(resolution_events(tables["resolution"]))
+    return events
+
+
 @dataclass(frozen=True)
 class ReminderRun:
     """What a run found and did: candidates of a dry run, the new reminders of an applied one."""
@@ -176,11 +199,47 @@ class ReminderRun:
     batch: DataFrame | None = None
     inserted: int = 0
     open_reminders: int | None = None
+    attributed: DataFrame | None = None
     unattributed: int = 0
     report_path: str | None = None
     outbox: DataFrame | None = None
 
 
+def _reserved(store: ReminderStore, table: str, owner: str, rows: int) -> DataFrame:
+    """The highest id that comes before the range reserved for ``rows`` new rows."""
+    start = store.reserve(table, owner, rows) if rows else 1
+    return store.spark.createDataFrame([(start - 1,)], "max_id bigint")
+
+
+def append_run(
+    store: ReminderStore, run_id: str, candidates: DataFrame, events: DataFrame, params: Params
+) -> None:
+    """Commit a run's reminders, task rows and coverage events together, on the newest version.
+
+    If another run commits first, what it opened is left out and the rest is tried again. Rows are
+    staged per version that they were decided on, so a run that is started again uses them.
+    """
+    marker = params.routing.marker
+    while not store.committed(run_id):
+        version = store.version()
+        todo, details = store.todo(version), store.details(version)
+        tag = f"{run_id}-v{version}"
+        rows, n = store.stage_counted(
+            "reminders", tag, lambda: reminder_rows(suppress_open(candidates, todo, marker), params)
+        )
+        base = _reserved(store, "todo", tag, n)
+        batch = store.stage("staging", tag, lambda: as_todo(assign_ids(rows, base, "forwhom_id", "tran_id")))
+        both = todo.unionByName(batch)
+        lacking, n = store.stage_counted(
+            "lacking", tag, lambda: detail_rows(missing_details(both, details, marker), params)
+        )
+        first = _reserved(store, "tobe_done_detail", tag, n)
+        tasks = store.stage("tasks", tag, lambda: as_detail(assign_ids(lacking, first, "todo_id", "tran_id")))
+        known = store.read("coverage_event", version)
+        fresh = store.stage("new_events", tag, lambda: new_events(events, known))
+        store.commit(run_id, version, {"todo": batch, "tobe_done_detail": tasks, "coverage_event": fresh})
+
+
 def run_reminders(
     tables: Mapping[str, DataFrame],
     params: Params,
@@ -190,14 +249,14 @@ def run_reminders(
     extra: Column | None = None,
     report_folder: str | None = None,
 ) -> ReminderRun:
-    """Find the candidates and, with ``apply``, write reminders, task rows and notices.
+    """Find the candidates and, with ``apply``, write reminders, task rows, snapshots and notices.
 
     ``tables`` needs no ``todo`` or ``tobe_done_detail``: those are the store's. A dry run writes
     the candidate report if ``report_folder`` is given, and nothing else.
     """
     tables = {**tables, "todo": store.todo()}
-    candidates = reminder_candidates(tables, params, extra)
     if not apply:
+        candidates = reminder_candidates(tables, params, extra)
         if report_folder is None:
             return ReminderRun(candidates)
         path, rows = write_report(
@@ -205,24 +264,28 @@ def run_reminders(
         )
         return ReminderRun(candidates, candidate_rows=rows, report_path=path)
 
-    # From here on everything reads the staged batch: once it is in ``todo``, the candidates
-    # would suppress themselves.
-    batch = store.stage("staging", run_id, new_reminders(candidates, tables["todo"], params))
+    # From here on everything reads what is staged or committed: once the batch is in ``todo``, the
+    # candidates would suppress themselves.
+    if not store.committed(run_id):
+        found = store.stage("candidates", run_id, lambda: reminder_candidates(tables, params, extra))
+        events = store.stage("events", run_id, lambda: coverage_events(tables, params))
+        append_run(store, run_id, found, events, params)
+    batch = store.read("todo", run_id=run_id)
     inserted = batch.count()
-    store.append_reminders(batch)
-    store.append_details(new_details(store.todo(), store.details(), params))
     still_open = open_count(store.todo(), params.routing.marker).first()[0]
     if inserted == 0:
         return ReminderRun(batch=batch, open_reminders=still_open)
 
-    resolved = store.stage("attributed", run_id, attributed_changes(batch, tables, params))
-    outbox = notices(batch, resolved, tables["patient_master"], params)
+    resolved = store.stage("attributed", run_id, lambda: attributed_changes(batch, tables, params))
     return ReminderRun(
         batch=batch,
         inserted=inserted,
         open_reminders=still_open,
+        attributed=resolved,
         unattributed=unattributed(batch, resolved).first()[0],
-        outbox=store.stage("outbox", run_id, outbox),
+        outbox=store.stage(
+            "outbox", run_id, lambda: notices(batch, resolved, tables["patient_master"], params)
+        ),
     )
 
 

@@ -44,6 +44,13 @@ class View:
         return f"SELECT {columns} FROM {self.source}{where}"
 
 
+# When a coverage row of the view below was last edited.
+_EDITED = (
+    "(case when o_orderkey % 3 = 0 then o_orderdate + interval 8400 day "
+    "+ interval 1 day * (o_orderkey % 400) "
+    "else o_orderdate + interval 8400 day + interval 1 hour * (o_orderkey % 24) end)"
+)
+
 VIEWS: dict[str, View] = {
     "billing_header": View("orders", {"tran_id": "o_orderkey", "patient_id": "o_custkey"}),
     "billing_detail": View(
@@ -172,6 +179,65 @@ VIEWS: dict[str, View] = {
         },
         "event_type = 'error'",
     ),
+    # Log entries near the coverage edits themselves: minutes before or after, some of them too far.
+    "coverage_edit_log": View(
+        "orders",
+        {
+            "PK_1": "case when o_orderkey % 4 = 0 then cast(o_custkey as varchar(20)) end",
+            "PK_2": "cast(null as varchar(20))",
+            "pk_3": "case when o_orderkey % 4 = 1 then cast(o_orderkey as varchar(20)) end",
+            "old_values": "case when o_orderkey % 4 = 2 then 'member M' "
+            "|| cast(o_custkey % 50 as varchar(10)) || ' before' end",
+            "new_values": "case when o_orderkey % 4 = 3 then 'subscriber I' "
+            "|| cast(o_orderkey % 3 as varchar(10)) || ' now' end",
+            "column_detail": "'coverage'",
+            "modified_by": "case when o_orderkey % 9 = 0 then 'system' "
+            "when o_custkey % 20 < 15 then 'user' || cast(o_custkey % 20 as varchar(10)) "
+            "else 'supplier n' || cast(o_custkey % 20 as varchar(10)) end",
+            "modified_date": f"{_EDITED} + interval 1 minute * (o_orderkey % 25 - 12)",
+        },
+    ),
+    "coverage_audit_trail": View(
+        "orders",
+        {
+            "user_name": "'user' || cast(o_orderkey % 20 as varchar(10))",
+            "tran_date": f"{_EDITED} + interval 1 second * (o_orderkey % 1500 - 750)",
+            "sql_syntax": "case when o_orderkey % 30 = 0 then 'update patient_insurance set active' "
+            "when o_orderkey % 3 = 1 then 'update x where patient = ' || cast(o_custkey as varchar(20)) "
+            "else 'M' || cast(o_custkey % 50 as varchar(10)) end",
+        },
+        "o_orderkey % 2 = 0",
+    ),
+    "approval": View(
+        "orders",
+        {
+            "patient_id": "o_custkey",
+            "biologic_drug": "case o_custkey % 3 when 0 then 'XOLAIR' when 1 then 'FASENRA' "
+            "else 'TEZSPIRE' end",
+            "source_tran_id": "o_orderkey - o_orderkey % 64",
+            "source_date": "cast(o_orderdate as date) + 8550",
+            "event_ts": "o_orderdate + interval 8551 day + interval 1 hour * (o_orderkey % 64)",
+            "pa_status": "case o_orderkey % 3 when 0 then 'REQUESTED' when 1 then 'APPROVED' "
+            "else 'DENIED' end",
+            "pa_expiration_date": "case when o_orderkey % 3 = 1 "
+            "then cast(o_orderdate as date) + 8915 end",
+        },
+        "o_orderstatus = 'O'",
+    ),
+    "resolution": View(
+        "orders",
+        {
+            "patient_id": "o_custkey",
+            "biologic_drug": "case o_custkey % 3 when 0 then 'XOLAIR' when 1 then 'FASENRA' "
+            "else 'TEZSPIRE' end",
+            "source_event": "'APPROVAL'",
+            "source_tran_id": "o_orderkey - o_orderkey % 64",
+            "resolved_status": "case when o_orderkey % 2 = 0 then 'DONE' else 'NOT NEEDED' end",
+            "resolved_by": "'user' || cast(o_orderkey % 20 as varchar(10))",
+            "resolved_at": "o_orderdate + interval 8560 day",
+        },
+        "o_orderkey % 5 = 0",
+    ),
     "emp_master": View(
         "supplier",
         {
@@ -215,8 +281,8 @@ class TestTables(dict):
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         super().__init__()
-        self._spark, self._folder = spark, folder
+        self._spark, self.folder = spark, folder
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = read_view(self._spark, self._folder, name)
+        self[name] = read_view(self._spark, self.folder, name)
         return self[name]

@@ -6,9 +6,12 @@ import pytest
 
 from covdrift.operators.snapshot import (
     alert_text,
-    approval_snapshot,
     coverage_snapshot,
+    new_events,
+    resolution_events,
     snapshot_drift,
+    taken_events,
+    unresolved,
 )
 from covdrift.operators.charges import dispense_charges, last_dispense
 from covdrift.operators.coverage import current_primary, primary_at_dispense
@@ -214,32 +217,51 @@ def test_snapshot_drift(make, params, row, reason):
     assert tuples(drifted, "alert_reason") == ([(reason,)] if reason else [])
 
 
+SOURCE = (
+    "patient_id bigint, biologic_drug string, source_event string, source_tran_id bigint, "
+    "source_date date, event_ts timestamp_ntz, pa_status string, pa_expiration_date date"
+)
+
+
 def test_an_edit_in_place_is_found_through_the_stored_snapshot(spark, make, folder):
     coverage = {
         "patient_id": 1, "sr_id": 1, "priority": "P", "active": "Y", "insurance_id": 5,
         "insurance_no": "I1", "membership_id": "M1", "group_no": "G1",
     }
-    dispense = spark.createDataFrame(
-        [(1, "XOLAIR", date(2024, 1, 10), 7)],
-        "patient_id bigint, biologic_drug string, dispense_date date, dispense_tran_id bigint",
-    )
-    before = make("patient_insurance", coverage)
-    store = ReminderStore(spark, folder).create()
-    taken = coverage_snapshot(dispense, primary_at_dispense(dispense, before))
-    store.keep_snapshots("r1", taken)
-    approval = spark.createDataFrame(
-        [(1, "FASENRA", 8, date(2024, 1, 11), "APPROVED", date(2024, 7, 1))],
-        "patient_id bigint, biologic_drug string, source_tran_id bigint, source_date date, "
-        "pa_status string, pa_expiration_date date",
-    )
-    store.keep_snapshots("r2", approval_snapshot(approval, current_primary(before, TODAY)))
-    store.keep_snapshots("r1", taken)
-    kept = store.snapshots()
-    assert tuples(kept, "source_event", "run_id", "pa_status") == [
-        ("APPROVAL", "r2", "APPROVED"), ("DISPENSE", "r1", None),
-    ]
-    edited = make("patient_insurance", {**coverage, "membership_id": "M2"})
-    found = snapshot_drift(store.snapshots(), current_primary(edited, TODAY))
-    assert tuples(found, "biologic_drug", "alert_reason") == [
+    before, edited = (make("patient_insurance", {**coverage, "membership_id": m}) for m in ("M1", "M2"))
+    store = ReminderStore(spark, folder, buckets=2).create()
+
+    def at(day):
+        return datetime(2024, 1, day)
+
+    def add(run, sources, insurance, closed=()):
+        events = taken_events(spark.createDataFrame(sources, SOURCE), insurance)
+        if closed:
+            columns = "patient_id bigint, biologic_drug string, source_event string, source_tran_id bigint, "
+            columns += "resolved_status string, resolved_by string, resolved_at timestamp_ntz"
+            events = events.unionByName(resolution_events(spark.createDataFrame(closed, columns)))
+        fresh = store.stage("fresh", run, lambda: new_events(events, store.read("coverage_event")))
+        assert store.commit(run, store.version(), {"coverage_event": fresh})
+        return fresh.count()
+
+    dispense = (1, "XOLAIR", "DISPENSE", 7, at(10).date(), at(10), None, None)
+    asked = (1, "FASENRA", "APPROVAL", 8, at(11).date(), at(11), "REQUESTED", None)
+    granted = (1, "FASENRA", "APPROVAL", 8, at(11).date(), at(12), "APPROVED", date(2024, 7, 1))
+    nobody = (2, "FASENRA", "APPROVAL", 9, at(11).date(), at(12), "APPROVED", None)
+    assert add("r1", [dispense, dispense, asked, nobody], before) == 2
+    # The rows have been edited since: what was taken stays, and only the approval's state is new.
+    late = [("r", 1), ("DONE", 2)]
+    resolved = [(1, "XOLAIR", "DISPENSE", 7, s, f"user{n}", at(13 + n)) for s, n in late]
+    assert add("r2", [dispense, asked, granted], edited, [*resolved, (1, "XOLAIR", "DISPENSE", 99, "DONE", "x", at(9))]) == 4
+    assert add("r3", [dispense, granted], edited, resolved) == 0
+    columns = ("source_event", "membership_id", "pa_status", "pa_expiration_date", "resolved_status", "resolved_by", "resolved_at")
+    assert tuples(store.snapshots(), *columns) == [
+        ("APPROVAL", "M1", "APPROVED", date(2024, 7, 1), None, None, None),
+        ("DISPENSE", "M1", None, None, "DONE", "user2", at(15)),
+    ]
+    now = current_primary(edited, TODAY)
+    assert tuples(snapshot_drift(store.snapshots(), now), "biologic_drug", "alert_reason") == [
         ("FASENRA", "MEMBER ID CHANGED"), ("XOLAIR", "MEMBER ID CHANGED"),
     ]
+    assert tuples(snapshot_drift(unresolved(store.snapshots()), now), "biologic_drug") == [("FASENRA",)]
+    assert store.read("coverage_event", version=1).count() == 2

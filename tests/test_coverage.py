@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from covdrift.operators.coverage import (
     change_after_dispense,
     current_primary,
+    in_force_at,
     primary_at_dispense,
     recent_primary_change,
     recent_primary_edits,
@@ -149,3 +152,75 @@ def _change(make, *rows):
 def test_change_after_dispense(make, spark, rows, due):
     dispensed = _dispensed(spark, date(2024, 1, 14))
     assert change_after_dispense(dispensed, _change(make, *rows)).count() == int(due)
+
+
+@pytest.mark.parametrize("span", [0, 1, 2, 6, 7, 300])
+def test_in_force_at_matches_all_pairs(spark, make, span):
+    rng = random.Random(span)
+    first = date(2023, 12, 28)
+
+    def day(spread):
+        return None if rng.random() < 0.2 else first + DAY * rng.randrange(-spread, span + spread + 1)
+
+    rows = [
+        {
+            "patient_id": rng.choice([1, 1, 2, 3, None]), "sr_id": sr, "priority": rng.choice("PPPS"),
+            "start_date": day(9), "end_date": day(9),
+        }
+        for sr in range(120)
+    ]
+    rows.append({"patient_id": 4, "sr_id": None, "priority": "P"})
+    events = [(p, first + DAY * d) for p in (1, 2, 4, 5) for d in range(span + 1) if rng.random() < 0.6 or d in (0, span)]
+    events += [(None, first), (1, None), events[0]]
+    want = set()
+    for patient, at in events:
+        fit = [
+            (r["start_date"] or date(1900, 1, 1), r["sr_id"] or 0)
+            for r in rows[: -1 if patient != 4 else None]
+            if patient is not None and at is not None and r["patient_id"] == patient and r["priority"] == "P"
+            and (r.get("start_date") or at) <= at <= (r.get("end_date") or at)
+        ] if patient != 4 else [(date(1900, 1, 1), 0)]
+        if fit:
+            want.add((patient, at, max(fit)[1]))
+    frame = spark.createDataFrame(events, "patient_id bigint, event_date date")
+    found = in_force_at(frame, make("patient_insurance", *rows)).select(
+        "patient_id", "event_date", F.coalesce("sr_id", F.lit(0)).alias("sr_id")
+    )
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_in_force_at_of_nothing(spark, make):
+    none = spark.createDataFrame([], "patient_id bigint, event_date date")
+    assert in_force_at(none, make("patient_insurance", _row(1))).count() == 0
+    some = spark.createDataFrame([(1, TODAY)], "patient_id bigint, event_date date")
+    assert in_force_at(some, make("patient_insurance")).count() == 0
+
+
+def test_one_patient_with_very_many_rows_and_events_is_not_paired(spark, folder):
+    """100,000 rows and as many events of one patient: 10 thousand million pairs, were they formed."""
+    n, days = 100_000, 3000
+    origin = F.lit(date(2015, 1, 1))
+    start = (F.col("id") * 7919 % days).cast("int")
+    rows = spark.range(n).select(
+        F.lit(1).cast("long").alias("patient_id"), F.col("id").alias("sr_id"), F.lit("P").alias("priority"),
+        F.date_add(origin, start).alias("start_date"),
+        F.date_add(origin, start + (F.col("id") % 50).cast("int")).alias("end_date"),
+    )
+    events = spark.range(n).select(
+        F.lit(1).cast("long").alias("patient_id"), F.date_add(origin, (F.col("id") % days).cast("int")).alias("event_date")
+    )
+    rows.write.parquet(f"{folder}/rows")
+    events.write.parquet(f"{folder}/events")
+    rows, events = (spark.read.parquet(f"{folder}/{name}") for name in ("rows", "events"))
+    found = events.join(in_force_at(events, rows), ["patient_id", "event_date"])
+    text = found._jdf.queryExecution().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    got = {r.event_date: r.sr_id for r in found.select("event_date", "sr_id").distinct().collect()}
+    assert found.count() == n and len(got) == days
+    best = {}
+    for i in range(n):
+        at, length = i * 7919 % days, i % 50
+        for day in range(at, min(days, at + length + 1)):
+            best[day] = max(best.get(day, (-1, -1)), (at, i))
+    assert got == {date(2015, 1, 1) + DAY * d: i for d, (_, i) in best.items()}

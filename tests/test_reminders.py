@@ -16,6 +16,7 @@ from covdrift.plans.reminders import (
     run_reminders,
 )
 from covdrift.schemas import SCHEMAS
+from covdrift.sinks.commits import CommitLog
 from covdrift.sinks.reports import order_candidates
 from covdrift.sinks.store import ReminderStore
 from tests.conftest import NOW, TODAY, settings, tuples
@@ -285,39 +286,124 @@ def test_apply_and_apply_again(spark, tables, params, folder):
     assert store.todo().count() == 4 and store.details().count() == 4
 
 
-@pytest.mark.parametrize("step", ["append_reminders", "append_details", "attributed", "outbox"])
+@pytest.mark.parametrize(
+    "step", ["events", "staging", "tasks", "insert 1", "insert 2", "insert 3", "log", "attributed", "outbox"]
+)
 def test_a_run_that_died_goes_on_under_its_id(spark, tables, params, folder, step, monkeypatch):
-    store = ReminderStore(spark, folder).create()
+    """Stopped before any write, readers see no part of the run; started again, it is made once."""
+    store = ReminderStore(spark, folder, buckets=3).create()
+    stage, insert, inserts = ReminderStore.stage_counted, type(spark).sql, []
 
-    def die(self, name, *rest):
-        if name == step or step.startswith("append"):
+    def die_at(self, name, *rest):
+        if name == step:
             raise RuntimeError("lost")
         return stage(self, name, *rest)
 
-    stage = ReminderStore.stage
+    def die_inserting(self, text, *rest):
+        inserts.append(text.startswith("INSERT"))
+        if text.startswith("INSERT") and step == f"insert {sum(inserts)}":
+            raise RuntimeError("lost")
+        return insert(self, text, *rest)
+
+    def die_logging(self, number, entry):
+        if "tables" in entry and step == "log":
+            raise RuntimeError("lost")
+        return append(self, number, entry)
+
+    append = CommitLog.append
     with monkeypatch.context() as broken:
-        broken.setattr(ReminderStore, step if step.startswith("append") else "stage", die)
-        if step.startswith("append"):
-            broken.setattr(ReminderStore, step, lambda self, batch: die(self, step))
+        broken.setattr(ReminderStore, "stage_counted", die_at)
+        broken.setattr(type(spark), "sql", die_inserting)
+        broken.setattr(CommitLog, "append", die_logging)
         with pytest.raises(RuntimeError):
             run_reminders(tables, params, store, "r1", apply=True)
+    seen = 4 if step in ("attributed", "outbox") else 0
+    assert store.todo().count() == store.details().count() == seen
+    assert bool(store.snapshots().count()) == bool(seen)
     run = run_reminders(tables, params, store, "r1", apply=True)
     assert run.inserted == 4 and run.outbox.count() == 2
     assert tuples(store.todo(), "tran_id", "forwhom_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
     assert tuples(store.details(), "tran_id", "todo_id") == [(1, 1), (2, 2), (3, 3), (4, 4)]
-    again = run_reminders(tables, params, store, "r1", apply=True)
+
+
+def test_a_finished_run_is_read_not_made_again(spark, tables, params, folder, monkeypatch):
+    store = ReminderStore(spark, folder, buckets=3).create()
+    run = run_reminders(tables, params, store, "r1", apply=True)
+    monkeypatch.setattr("covdrift.plans.reminders.reminder_candidates", None)
+    monkeypatch.setattr("covdrift.plans.reminders.attributed_changes", None)
+    again = run_reminders(tables, params, ReminderStore(spark, folder, buckets=3).create(), "r1", apply=True)
     assert tuples(again.outbox, "message") == tuples(run.outbox, "message")
-    assert store.todo().count() == 4 and store.details().count() == 4
+    assert store.todo().count() == 4 and store.details().count() == 4 and store.version() == 1
 
 
-def test_a_later_run_repairs_one_that_died_between_the_tables(spark, tables, params, folder):
-    store = ReminderStore(spark, folder).create()
-    batch = new_reminders(reminder_candidates(tables, params), store.todo(), params)
-    store.append_reminders(store.stage("staging", "dead", batch))
-    assert store.details().count() == 0
+def test_a_run_adds_the_task_rows_that_imported_reminders_lack(spark, tables, params, make, folder):
+    store = ReminderStore(spark, folder, buckets=3).create()
+    batch = new_reminders(reminder_candidates(tables, params), make("todo", _todo(40)), params)
+    assert store.commit("import", 0, {"todo": batch, "tobe_done_detail": make("tobe_done_detail")})
     run = run_reminders(tables, params, store, "r2", apply=True)
-    assert run.inserted == 0
-    assert tuples(store.details(), "todo_id") == [(1,), (2,), (3,), (4,)]
+    assert run.inserted == 0 and run.open_reminders == 4
+    assert tuples(store.details(), "tran_id", "todo_id") == [(1, 41), (2, 42), (3, 43), (4, 44)]
+
+
+def test_two_runs_at_once_open_each_reminder_once(spark, tables, params, folder, monkeypatch):
+    """Run b commits after run a has decided and before it commits; a looks again."""
+    mine, other = (ReminderStore(spark, folder, buckets=3).create() for _ in range(2))
+    commit = ReminderStore.commit
+    late = []
+
+    def between(self, run_id, version, rows):
+        if run_id == "a" and not late:
+            late.append(run_reminders(tables, params, other, "b", apply=True, extra=F.col("patient_id") > 2))
+        return commit(self, run_id, version, rows)
+
+    monkeypatch.setattr(ReminderStore, "commit", between)
+    first = run_reminders(tables, params, mine, "a", apply=True)
+    assert late[0].inserted == 2 and first.inserted == 2 and first.open_reminders == 4
+    rows = tuples(mine.todo(), "forwhom_id", "tran_id")
+    assert [patient for patient, _ in rows] == [1, 2, 3, 4] and len({new for _, new in rows}) == 4
+    assert tuples(mine.details(), "todo_id") == sorted((new,) for _, new in rows)
+    assert len({r.tran_id for r in mine.details().collect()}) == 4
+
+
+def test_reserved_ranges_are_disjoint_and_leave_no_gap(spark, make, folder, monkeypatch):
+    one, two = (ReminderStore(spark, folder, buckets=3).create() for _ in range(2))
+    one.commit("import", 0, {"todo": make("todo", _todo(7), _todo(9))})
+    assert [one.reserve("todo", "a", 5), two.reserve("todo", "b", 3), one.reserve("todo", "c", 1)] == [10, 15, 18]
+    assert two.reserve("todo", "a", 5) == 10 and one.reserve("tobe_done_detail", "a", 2) == 1
+    # A writer that read the log before another one wrote to it takes the next range.
+    entries, raced = CommitLog.entries, []
+
+    def read_then_overtaken(self):
+        found = entries(self)
+        if not raced:
+            raced.append("once")
+            raced.append(two.reserve("todo", "fast", 4))
+        return found
+
+    monkeypatch.setattr(CommitLog, "entries", read_then_overtaken)
+    assert (one.reserve("todo", "slow", 2), raced) == (23, ["once", 19])
+
+
+def test_history_is_not_shuffled(spark, make, folder):
+    store = ReminderStore(spark, folder, buckets=5).create()
+    for run in ("r1", "it's r2"):
+        number = store.version()
+        todo = make("todo", *[_todo(number * 50 + i, forwhom_id=i) for i in range(40)])
+        tasks = make("tobe_done_detail", *[{"tran_id": number * 50 + i, "todo_id": i} for i in range(40)])
+        assert store.commit(run, number, {"todo": todo, "tobe_done_detail": tasks})
+    assert store.commit("late", 0, {"todo": make("todo", _todo(999, forwhom_id=77))}) is False
+    candidates = spark.createDataFrame([(i,) for i in range(30, 90)], "patient_id bigint")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        kept = suppress_open(candidates, store.todo(), MARKER)
+        assert sorted(r.patient_id for r in kept.collect()) == list(range(40, 90))
+        missing = missing_details(store.todo(), store.details(), MARKER)
+        for frame, history in ((kept, "todo"), (missing, "tobe_done_detail")):
+            text = frame._jdf.queryExecution().executedPlan().toString()
+            assert text.count("Exchange") == 1, text
+            # The one exchange stands above the other side's scan.
+            join = text.split("LeftAnti")[1]
+            assert "Exchange" not in join[join.index("HashAggregate") :], history
+        assert missing.count() == 40
 
 
 def test_notices_hold_no_identifier_but_the_number(spark, tables, params, folder):
