@@ -6,11 +6,14 @@ themselves, and the logs are searched with one as-of join on the key:
 
 * an id in one of the log's key columns: the id is the key;
 * a text that names the coverage table: one constant key, it ties the entry to every change near it;
-* a text that contains a number: the number is the key on the change side, and the log side
-  produces each of its substrings that is as long as some number sought near it. Those no change
-  asks for are dropped by a semi-join at once.
-
-Work grows with the length of the log text, not with log entries times changes.
+* a text that contains a number: the number is the key on the change side. On the log side each
+  text is cut once into its grams of ``GRAM`` characters, and only those that some number sought
+  near it has are kept. A number is then looked for through the one of its grams that the fewest
+  texts near it hold: where that stands, the text around it is cut out as the key. A number with a
+  gram that no text holds is in none, and is not looked for.
+
+A text is cut into grams of one length whatever lengths are sought, and what is done beyond that
+goes with the places of rare grams, not with log entries times changes.
 """
 
 from __future__ import annotations
@@ -32,9 +35,11 @@ ID, TEXT, TABLE = "id", "text", "table"
 # Fixed value: the table name looked for in logged statements.
 COVERAGE_TABLE = "patient_insurance"
 CHANGE_KEY = ["patient_id", "insurance_sr_id"]
+#: Characters of a gram; a shorter number is its own gram.
+GRAM = 4
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class LogSource:
     """One log, and what ties its rows to a change.
 
@@ -98,23 +103,13 @@ def audit_trail_source(trail: DataFrame, system_users: Sequence[str]) -> LogSour
     )
 
 
-def _piece(kind: str, value: Column, length: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("kind"), value.alias("value"), length.cast("int").alias("length")
-    )
-
-
-def _substring_pieces(text: Column) -> Column:
-    return F.transform("lengths", lambda length: _piece(TEXT, text, length))
-
-
-def _match_key(log: str) -> Column:
+def _match_key(log: Column, kind: Column, value: Column) -> Column:
     """Keys of different logs and kinds never meet."""
-    return F.concat_ws(":", F.lit(log), "piece.kind", "value")
+    return F.concat_ws(":", log, kind, value)
 
 
 def _sought(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> DataFrame:
-    """Every key each change looks for, with the value's length when it is sought inside texts."""
+    """Every key each change looks for, with its kind and value."""
     known = changes.dropna(subset=[*CHANGE_KEY, "insurance_change_ts"]).withColumn(
         "edge", upper_edge("insurance_change_ts", minutes)
     )
@@ -122,7 +117,7 @@ def _sought(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> D
     def of(source: LogSource) -> DataFrame:
         # A blank number matches nothing.
         pieces = [
-            F.when(value != "", _piece(kind, value, F.length(value) if kind == TEXT else F.lit(None)))
+            F.when(value != "", F.struct(F.lit(kind).alias("kind"), value.alias("value")))
             for kind, value in source.sought
         ]
         return (
@@ -133,41 +128,108 @@ def _sought(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> D
                 F.explode(F.array_distinct(F.array(*pieces))).alias("piece"),
             )
             .where(F.col("piece").isNotNull())
-            .withColumn("value", F.col("piece.value"))
-            .withColumn("match_key", _match_key(source.name))
-            .select(*CHANGE_KEY, "log", "edge", "match_key", "piece.length")
+            .select(*CHANGE_KEY, "log", "edge", "piece.*")
+            .withColumn("match_key", _match_key(F.col("log"), F.col("kind"), F.col("value")))
         )
 
     return reduce(DataFrame.unionByName, map(of, sources))
 
 
-def _near(source: LogSource, bins: DataFrame, minutes: int) -> DataFrame:
-    """Log rows whose bin some change searches, with the lengths of the texts sought there."""
-    own = bins.where(F.col("log") == source.name).drop("log")
-    return source.rows.withColumn("bin", entry_bin("audit_ts", minutes)).join(own, "bin")
+def _every(before: Column, middle: Column, after: Column) -> Column:
+    """Pattern of all, also overlapping, stretches: ``middle`` with so many characters around it.
+
+    A look-ahead match is empty, so the scan moves on by one character. None starts inside a
+    surrogate pair.
+    """
+    opened = F.concat(F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{"), before, F.lit("}"))
+    return F.concat(opened, middle, F.lit(".{"), after, F.lit("}))"))
 
 
-def _entries(source: LogSource, near: DataFrame) -> DataFrame:
-    """(match_key, bin, audit_ts, audit_user): the keys each log row answers to."""
-    kinds = [(ID, source.id_columns), (TABLE, source.table_columns)]
-    whole = [_piece(kind, F.col(c), F.lit(None)) for kind, columns in kinds for c in columns]
-    inside = [_substring_pieces(F.col(c)) for c in source.text_columns]
-    # A look-ahead match is empty, so the scan moves on by one character: all substrings of the
-    # given length, in one pass over the text. None starts inside a surrogate pair.
-    every = F.concat(
-        F.lit(r"(?s)(?![\uDC00-\uDFFF])(?=(.{"), F.col("piece.length"), F.lit("}))")
+def _value_grams() -> Column:
+    """The grams of ``value`` with their places in it."""
+    size = F.least(F.length("value"), F.lit(GRAM))
+    places = F.sequence(F.lit(0), F.length("value") - size)
+    return F.transform(
+        places, lambda at: F.struct(F.substring(F.col("value"), at + 1, size).alias("gram"), at.alias("at"))
     )
-    substrings = F.array_distinct(F.regexp_extract_all("piece.value", every, 1))
-    values = F.when(F.col("piece.length").isNull(), F.array("piece.value")).otherwise(substrings)
+
+
+def _text_grams(text: Column, wanted: Column) -> Column:
+    """The different grams of ``text`` that are among ``wanted``; cut only for lengths that are."""
+    none = F.array().cast("array<string>")
+    found, sizes = none, F.transform(wanted, F.length)
+    for size in range(1, GRAM + 1):
+        asked = F.array_contains(sizes, size)
+        cut = F.regexp_extract_all(text, F.lit(rf"(?s)(?![\uDC00-\uDFFF])(?=(.{{{size}}}))"), 1)
+        found = F.concat(found, F.when(asked, cut).otherwise(none))
+    return F.array_intersect(found, wanted)
+
+
+def _gram_bins(searched: DataFrame) -> DataFrame:
+    """(log, bin, grams): the bins that changes search, with the grams of the numbers sought there.
+
+    Each bin and each of its numbers has a key, so this is bounded by what is asked for.
+    """
+    grams = F.when(F.col("kind") == TEXT, _value_grams()["gram"])
+    sets = searched.select("log", "bin", "kind", "value").distinct().groupBy("log", "bin")
+    return sets.agg(F.array_distinct(F.flatten(F.collect_set(grams))).alias("grams"))
+
+
+def _whole(source: LogSource, near: DataFrame) -> DataFrame:
+    """(match_key, bin, audit_ts, audit_user) of values that must be equal."""
+    kinds = [(ID, source.id_columns), (TABLE, source.table_columns)]
+    pieces = [
+        F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value")) for kind, columns in kinds for c in columns
+    ]
     keep = ["bin", "audit_ts", "audit_user"]
+    rows = near.select(*keep, F.explode(F.array(*pieces)).alias("piece")).where("piece.value is not null")
+    return rows.select(*keep, _match_key(F.lit(source.name), F.col("piece.kind"), F.col("piece.value")).alias("match_key"))
+
+
+def _holding(source: LogSource, near: DataFrame) -> DataFrame:
+    """(log, bin, audit_ts, audit_user, text, held): texts with the sought grams they hold."""
+    texts = F.explode(F.array(*[F.col(c) for c in source.text_columns])).alias("text")
+    keep = [F.lit(source.name).alias("log"), "bin", "audit_ts", "audit_user"]
     return (
-        near.select(*keep, F.explode(F.concat(F.array(*whole), *inside)).alias("piece"))
-        .where(F.col("piece.value").isNotNull())
-        .select(*keep, "piece", F.explode(values).alias("value"))
-        .select(*keep, _match_key(source.name).alias("match_key"))
+        near.where(F.size("grams") > 0)
+        .select(*keep, "grams", texts)
+        .where("text is not null")
+        .withColumn("held", _text_grams(F.col("text"), F.col("grams")))
+        .where(F.size("held") > 0)
+        .drop("grams")
     )
 
 
+def _contained(searched: DataFrame, holding: DataFrame) -> DataFrame:
+    """(match_key, bin, audit_ts, audit_user): sought numbers, cut out of the texts that hold them."""
+    places = holding.select("log", "bin", F.explode("held").alias("gram"))
+    counts = places.groupBy("log", "bin", "gram").agg(F.count("*").alias("n"))
+    values = searched.where(F.col("kind") == TEXT).select("log", "bin", "value").distinct()
+    grams = values.select("*", F.explode(_value_grams()).alias("g")).select("log", "bin", "value", "g.*")
+    rarest = (
+        grams.join(counts, ["log", "bin", "gram"], "left")
+        .groupBy("log", "bin", "value")
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")).alias("best"))
+        .where("best.n > 0")
+    )
+    around = F.struct(F.col("best.at").alias("before"), F.length("value").alias("length"))
+    shapes = rarest.groupBy("log", "bin", F.col("best.gram").alias("gram")).agg(
+        F.collect_set(around).alias("shapes")
+    )
+    keep = ["log", "bin", "audit_ts", "audit_user"]
+    found = (
+        holding.select(*keep, "text", F.explode("held").alias("gram"))
+        .join(shapes, ["log", "bin", "gram"])
+        .select(*keep, "text", "gram", F.explode("shapes").alias("shape"))
+    )
+    quoted = F.concat(F.lit(r"\Q"), F.replace("gram", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    before = F.col("shape.before")
+    pattern = _every(before, quoted, F.col("shape.length") - before - F.length("gram"))
+    cut = F.explode(F.array_distinct(F.regexp_extract_all("text", pattern, 1))).alias("value")
+    key = _match_key(F.col("log"), F.lit(TEXT), F.col("value")).alias("match_key")
+    return found.select(*keep, cut).select("bin", "audit_ts", "audit_user", key)
+
+
 def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -> DataFrame:
     """Newest matching entry per change row and log, over all keys.
 
@@ -175,20 +237,27 @@ def match_logs(changes: DataFrame, sources: Sequence[LogSource], minutes: int) -
     insurance_change_ts). Entries that are not the newest of their log cannot win later and are
     never formed.
 
-    What is sought, the keys asked for and the bins to search are staged, each read several times.
-    The joins carry no hints: Spark broadcasts bins and keys by their size in files, so log texts
-    and substrings are filtered where they are read as long as that fits.
+    What is sought, the keys asked for, the bins to search and the texts that hold a sought gram
+    are staged, each read several times. The joins carry no hints: Spark broadcasts bins, grams and
+    keys by their size in files, so log texts are filtered where they are read as long as that fits.
     """
     sought = staged(_sought(changes, sources, minutes))
     searched = sought.withColumn("bin", F.explode(searched_bins("edge", minutes)))
     key_hash = F.xxhash64("match_key", "bin").alias("key_hash")
     # A pre-filter: keys are compared in full below, so two that share a hash do no harm.
     asked = staged(searched.select(key_hash).distinct())
-    # Each bin has a key and each length in a bin has a key, so this is bounded by ``asked``.
-    bins = staged(searched.groupBy("log", "bin").agg(F.collect_set("length").alias("lengths")))
-    entries = reduce(
-        DataFrame.unionByName, [_entries(s, _near(s, bins, minutes)) for s in sources]
-    )
+    bins = staged(_gram_bins(searched))
+    near = {
+        source: source.rows.withColumn("bin", entry_bin("audit_ts", minutes)).join(
+            bins.where(F.col("log") == source.name).drop("log"), "bin"
+        )
+        for source in sources
+    }
+    whole = [_whole(source, rows) for source, rows in near.items() if source.id_columns or source.table_columns]
+    texts = [_holding(source, rows) for source, rows in near.items() if source.text_columns]
+    if texts:
+        whole.append(_contained(searched, staged(reduce(DataFrame.unionByName, texts))))
+    entries = reduce(DataFrame.unionByName, [e.select("bin", "audit_ts", "audit_user", "match_key") for e in whole])
     wanted = entries.withColumn("key_hash", key_hash).join(asked, "key_hash", "left_semi")
     found = newest_within(sought, wanted, minutes)
     newest = (

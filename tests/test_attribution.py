@@ -285,3 +285,27 @@ def test_changes_of_one_instant_without_broadcasts(spark, make, changes):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         found = match_logs(change, [audit_trail_source(trail, SYSTEM_USERS)], 10)
         assert tuples(found.groupBy("audit_user").count(), "audit_user", "count") == [("bob", 3000)]
+
+
+@pytest.mark.parametrize("letters", ["ab", "01234567", "a\\EQ.*(é\U0001f600"])
+def test_numbers_of_any_length_are_found_in_texts(make, changes, letters):
+    """Overlapping, repeated and special characters; numbers shorter and longer than a gram."""
+    rng = random.Random(len(letters))
+
+    def word(longest):
+        return "".join(rng.choice(letters) for _ in range(rng.randrange(1, longest)))
+
+    rows = [
+        {"patient_id": i, "insurance_sr_id": i, "membership_id": word(14), "insurance_no": word(7)} for i in range(40)
+    ]
+    texts = [word(90) for _ in range(30)] + [f"{word(9)}{r['membership_id']}{word(9)}" for r in rows[:20]]
+    log = [
+        {"modified_by": f"u{i:02}", "new_values": t, "modified_date": AT + timedelta(seconds=i)}
+        for i, t in enumerate(texts)
+    ]
+    want = []
+    for r in rows:
+        hits = [i for i, t in enumerate(texts) if r["membership_id"] in t or r["insurance_no"] in t]
+        want += [(r["patient_id"], f"u{hits[-1]:02}")] if hits else []
+    found = match_logs(changes(*rows), [_edit(make, *log)], 10)
+    assert tuples(found, "patient_id", "audit_user") == sorted(want, key=repr) and len(want) > 20
