@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a folder in the session's warehouse.
+    """``spark.checkpoint.dir``; on one machine, where it is unset, a folder in the warehouse.
 
-    Both are shared by contract, on a cluster as on one machine. The folder holds one subfolder
-    per staged table; a table may be removed once the frames read from it are no longer used.
+    It must be shared, so a cluster without that setting is an error. The folder holds one
+    subfolder per staged table; a table may be removed once the frames read from it are no longer
+    used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return shared or spark.conf.get("spark.sql.warehouse.dir") + "/_work"
 
 
