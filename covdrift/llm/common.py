@@ -13,10 +13,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use ``spark.checkpoint.dir``; where it is unset, a folder in the (shared) warehouse."""
+    """Use ``spark.checkpoint.dir``; on one machine, where it is unset, a folder in the warehouse."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
 
 

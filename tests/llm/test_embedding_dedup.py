@@ -3,7 +3,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from covdrift.llm.embedding_dedup import _hadamard, link_classes
+from covdrift.llm.embedding_dedup import _found_by, _hadamard, axes_for, hash_rows, link_classes, tables_for
+from tests.conftest import settings
 from tests.llm.helpers import union_find
 
 
@@ -70,3 +71,47 @@ def test_empty_table_and_repeated_rows(spark):
     v = [1.0, 2.0, 3.0, 4.0]
     rows = link_classes(frame(spark, [(7, v, 1, "x"), (7, v, 1, "x"), (None, v, 1, "x"), (9, v, 2, "x")])).collect()
     assert sorted((r.n_links, r.component_id) for r in rows) == [(0, 9), (2, 7), (2, 7), (2, 7)]
+
+
+@pytest.mark.parametrize("small", [2, 32])
+def test_a_vector_that_most_rows_repeat(spark, small, monkeypatch):
+    monkeypatch.setattr("covdrift.llm.embedding_dedup.SMALL", small)
+    rng = np.random.default_rng(8)
+    hot = [float(x) for x in np.float32(rng.normal(size=64))]
+    rows = [(i, hot, 1, "x") for i in range(400)]
+    rows += [(400 + i, [2 * x for x in hot], 1, "x") for i in range(50)]
+    for i in range(60):
+        v = np.array(hot) + rng.normal(size=64) * 0.05
+        rows.append((450 + i, [float(x) for x in np.float32(v)], 1, "x"))
+    _, links, roots = brute(rows)
+    with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="37"):
+        got = {r.vec_id: r for r in link_classes(frame(spark, rows).repartition(4), block=16).collect()}
+    assert [got[i].component_id for i in range(510)] == roots
+    found = sum(got[i].n_links for i in got)
+    assert 0.99 * sum(links) <= found <= sum(links) and all(got[i].n_links <= links[i] for i in got)
+
+
+def test_recall_on_many_clustered_vectors():
+    """20,000 clustered vectors, all pairs against shared buckets."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(4000, 64))
+    unit = np.repeat(centres, 5, axis=0) + rng.normal(size=(20_000, 64)) * 0.13
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    axes = axes_for(20_000, 64)
+    own, probes = hash_rows(unit, tables_for(64, axes, 0.98), axes)
+    i, j = np.nonzero(np.triu(np.ones((5, 5), bool), 1))
+    i, j = ((np.arange(4000)[:, None] * 5 + x).ravel() for x in (i, j))
+    near = (unit[i] * unit[j]).sum(1) >= 0.98
+    i, j = i[near], j[near]
+    met = _found_by(np.concatenate([own[i], own[j]]), np.concatenate([probes[i], probes[j]]), len(i)).any(1)
+    assert len(i) > 1000 and met.mean() >= 0.99
+    # Buckets hold few vectors that are not alike.
+    assert len(np.unique(own[:, 0])) > 4000
+
+
+@pytest.mark.parametrize("rows,dims", [(0, 1), (500, 64), (10**6, 64), (10**12, 64), (10**6, 3)])
+def test_codes_grow_with_the_rows_and_fit(rows, dims):
+    axes = axes_for(rows, dims)
+    bits = (2 * (1 << max(1, (dims - 1).bit_length()))).bit_length() - 1
+    assert axes * bits <= 62 and (axes * bits >= 62 - bits or 2 ** (axes * bits) >= rows)
+    assert 1 <= tables_for(dims, min(axes, 4), 0.98) <= 64
