@@ -18,6 +18,7 @@ any other; a text of any length is cut into windows. Other columns are ignored.
 from __future__ import annotations
 
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,10 @@ class _Recent(dict):
         return value
 
 
+#: Marks that stand alone after a word.
+_MARKS = frozenset(".,;:!?")
+
+
 class ChunkEncoder:
     """Ids of texts as little-endian 32-bit bytes, equal to ``Tokenizer.encode`` on whole texts."""
 
@@ -81,17 +86,25 @@ class ChunkEncoder:
     def _ids(self, text: str) -> bytes:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _tokens(self, shown: str) -> bytes:
+        return array("I", [t.id for t in self.whole.model.tokenize(shown)]).tobytes()
+
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(self.shown)
-        return b"".join(t.id.to_bytes(4, "little") for t in self.whole.model.tokenize(shown))
+        return self._tokens(piece.encode().decode("latin-1").translate(self.shown))
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isascii():
+            # A plain word is one piece, shown as it is; a mark after it is another.
+            if chunk.isalpha():
+                return self._tokens(chunk) if chunk.islower() else self.pieces[chunk.lower()]
+            if chunk[-1] in _MARKS and chunk[:-1].isalpha():
+                return self.chunks[chunk[:-1]] + self.pieces[chunk[-1]]
         if "<|" in chunk or not self.plain.fullmatch(chunk):
             return self._ids(chunk)
         return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk.lower())))
 
     def __call__(self, text: str) -> bytes:
-        if regex.search("[\x1c-\x1f]", text):
+        if any(mark in text for mark in "\x1c\x1d\x1e\x1f"):
             return self._ids(text)
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
