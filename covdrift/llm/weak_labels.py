@@ -18,7 +18,7 @@ Defined cases: a text without words (null, empty, blank) has score 0 and is not
 than ``MIN_WORDS`` words has score 0.5 and is kept, and takes no part in training; repeated rows
 score alike; null ids are carried along; texts are read whole; other columns pass through. An
 empty table, or one on which all documents look alike, gives a scorer without weights (score 0.5,
-kept). ``docs`` must be a stable table, as it is scanned more than once.
+kept). Texts are read in one pass, which writes votes and features; all else reads those.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covdrift.llm.common import stored
 from covdrift.llm.quality_rules import Document
 
 WIDTH = 1024
@@ -75,22 +76,81 @@ LABELLERS: dict[str, Callable[[Document], int]] = {
 }
 
 
-def vote_patterns(
-    docs: DataFrame, labellers: Mapping[str, Callable[[Document], int]] = LABELLERS, text: str = "text"
+class Studied(Document):
+    """A document whose words are numbered once, for all measures that compare words."""
+
+    @property
+    def numbered(self) -> tuple[list[bytes], np.ndarray]:
+        """The different words, and for each word the place of its own among them."""
+        return self._once("numbered", self._numbered)
+
+    def _numbered(self) -> tuple[list[bytes], np.ndarray]:
+        number: dict[bytes, int] = {}
+        ids = np.fromiter((number.setdefault(w, len(number)) for w in self.words), np.int64, len(self.words))
+        return list(number), ids
+
+    @property
+    def top_count(self) -> int:
+        return int(np.bincount(self.numbered[1], minlength=1).max())
+
+    def _repeated(self) -> int:
+        different, ids = self.numbered
+        if len(ids) < 4 or len(different) == len(ids):
+            return 0
+        # A window found twice begins with a pair of words found twice: the others need no names.
+        pairs = ids[:-1] * len(different) + ids[1:]
+        _, pair, count = np.unique(pairs, return_inverse=True, return_counts=True)
+        starts = np.flatnonzero(count[pair[:-1]] > 1)
+        _, name, count = np.unique(pair[starts] * len(different) + ids[starts + 2], return_inverse=True, return_counts=True)
+        twice = starts[count[name] > 1]
+        inside = np.zeros(len(ids), bool)
+        for step in range(3):
+            inside[twice + step] = True
+        return int(inside.sum())
+
+
+def pattern_of(d: Document, votes: Sequence[Callable[[Document], int]]) -> str | None:
+    """The votes of all labellers in a row; a shorter text has none."""
+    return "".join(str(vote(d)) for vote in votes) if len(d.words) >= MIN_WORDS else None
+
+
+def study(
+    docs: DataFrame,
+    labellers: Mapping[str, Callable[[Document], int]] = LABELLERS,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """(pattern, n): how many documents have each pattern of votes; shorter texts have none."""
+    """(doc, h, g, n_words, pattern, cells, shares), written once: all that later steps read of a text.
+
+    ``h`` and ``g`` name the text, ``cells`` and ``shares`` are its features that are not zero, as
+    16-bit and 32-bit numbers. ``doc`` has the columns ``keep``, by default all but score and kept.
+    """
     votes = tuple(labellers.values())
 
-    @F.pandas_udf("string")
-    def pattern(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("n_words long, pattern string, cells binary, shares binary")
+    def studied(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        shapes = Shapes()
         for texts in batches:
-            documents = map(Document, texts)
-            yield pd.Series(
-                ["".join(str(v(d)) for v in votes) if len(d.words) >= MIN_WORDS else None for d in documents],
-                dtype=object,
-            )
+            found = []
+            for d in map(Studied, texts):
+                cells, shares = shapes.sparse(d)
+                found.append((len(d.words), pattern_of(d, votes), cells.tobytes(), shares.tobytes()))
+            yield pd.DataFrame(found, columns=["n_words", "pattern", "cells", "shares"])
+
+    columns = [c for c in docs.columns if c not in ("score", "kept")] if keep is None else keep
+    body = F.col(f"`{text}`")
+    thin = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+        F.xxhash64(body).alias("h"),
+        F.xxhash64(F.lit(1), body).alias("g"),
+        studied(body).alias("s"),
+    )
+    return stored(thin.select("doc", "h", "g", "s.*"))
+
 
-    return docs.select(pattern(F.col(text)).alias("pattern")).where("pattern is not null").groupBy("pattern").count()
+def vote_patterns(found: DataFrame) -> DataFrame:
+    """(pattern, count): how many documents have each pattern of votes; shorter texts have none."""
+    return found.where("pattern is not null").groupBy("pattern").count()
 
 
 def estimate(counts: Mapping[str, int], rounds: int = EM_ROUNDS) -> tuple[dict[str, float], np.ndarray]:
@@ -125,6 +185,7 @@ class Shapes:
 
     def __init__(self, width: int = WIDTH):
         self.width, self.known = width, {}
+        self.lags = {lag: self._cell(f"lag {lag}") for lag in (1, 2, 3)}
 
     def _cell(self, name: str) -> int:
         return zlib.crc32(name.encode()) % self.width
@@ -137,12 +198,17 @@ class Shapes:
             self.known[word] = self._cell(re.sub(r"(.)\1+", r"\1", shape)[:12])
         return self.known[word]
 
-    def __call__(self, d: Document) -> np.ndarray:
-        n = len(d.words)
-        out = np.bincount(np.fromiter(map(self._shape, d.words), np.int64, n), minlength=self.width) / max(n, 1)
+    def sparse(self, d: Studied) -> tuple[np.ndarray, np.ndarray]:
+        """The cells that are not zero, and the square roots of their shares of the words."""
+        different, ids = d.numbered
+        if not len(ids):
+            return np.zeros(0, "<u2"), np.zeros(0, "<f4")
+        cells = np.fromiter(map(self._shape, different), np.int64, len(different))
+        out = np.bincount(cells, np.bincount(ids, minlength=len(different)), self.width)
         for lag in (1, 2, 3):
-            out[self._cell(f"lag {lag}")] += sum(map(bytes.__eq__, d.words[lag:], d.words)) / max(n, 1)
-        return np.sqrt(out)
+            out[self.lags[lag]] += np.count_nonzero(ids[lag:] == ids[:-lag])
+        held = np.flatnonzero(out)
+        return held.astype("<u2"), np.sqrt(out[held] / len(ids)).astype("<f4")
 
 
 def fit(
@@ -169,87 +235,60 @@ def fit(
     return weights
 
 
-def drawn(docs: DataFrame, rate: float, text: str = "text") -> DataFrame:
-    """(row, h, g, weight): one row of each text drawn, and how many documents it stands for.
+def drawn(found: DataFrame, rate: float) -> DataFrame:
+    """(h, g, weight): the texts drawn, and how many documents each stands for.
 
     A text of n copies is drawn at the chance n * ``rate``, at most 1, so the expected number of texts
     is at most ``rate`` of the documents.
     """
-    named = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.xxhash64(F.col(text)).alias("h"),
-        F.xxhash64(F.lit(1), F.col(text)).alias("g"),
-    )
     chance = F.least(F.lit(1.0), F.col("n") * F.lit(float(rate)))
     place = F.pmod(F.xxhash64(F.lit(2), "h", "g"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    each = named.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("row").alias("row"))
-    return each.where(place < chance).select("row", "h", "g", (F.col("n") / chance).alias("weight"))
+    each = found.where("pattern is not null").groupBy("h", "g").agg(F.count("*").alias("n"))
+    return each.where(place < chance).select("h", "g", (F.col("n") / chance).alias("weight"))
 
 
-def train(
-    docs: DataFrame,
-    labellers: Mapping[str, Callable[[Document], int]] = LABELLERS,
-    text: str = "text",
-    rows: int = TRAIN_ROWS,
-) -> np.ndarray:
-    """Weights of the scorer: patterns of all documents, then a fit on about ``rows`` texts of them."""
-    counts = {r["pattern"]: r["count"] for r in vote_patterns(docs, labellers, text).collect()}
+def train(found: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray:
+    """Weights of the scorer from what ``study`` found: patterns of all, a fit on about ``rows`` texts."""
+    counts = {r["pattern"]: r["count"] for r in vote_patterns(found).collect()}
     posterior, _ = estimate(counts)
-    votes = tuple(labellers.values())
-
-    def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shapes = Shapes()
-        for batch in batches:
-            documents = list(map(Document, batch["text"]))
-            batch = batch[[len(d.words) >= MIN_WORDS for d in documents]]
-            documents = [d for d in documents if len(d.words) >= MIN_WORDS]
-            yield pd.DataFrame(
-                {
-                    "x": [shapes(d).astype(np.float32).tobytes() for d in documents],
-                    "y": [posterior["".join(str(v(d)) for v in votes)] for d in documents],
-                    "h": batch["h"].to_numpy(),
-                    "g": batch["g"].to_numpy(),
-                    "weight": batch["weight"].to_numpy(),
-                }
-            )
-
-    # About ``rows`` rows of numbers: their texts are read where they lie.
-    chosen = F.broadcast(drawn(docs, min(1.0, rows / max(1, sum(counts.values()))), text))
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text).alias("text"))
-    sample = numbered.join(chosen, "row").select("text", "h", "g", "weight")
-    sample = sample.mapInPandas(featured, "x binary, y double, h long, g long, weight double").toPandas()
+    # About ``rows`` rows of numbers; a text's copies are one row before they are shuffled.
+    chosen = F.broadcast(drawn(found, min(1.0, rows / max(1, sum(counts.values())))))
+    one = [F.first(c).alias(c) for c in ("pattern", "cells", "shares", "weight")]
+    sample = found.join(chosen, ["h", "g"]).groupBy("h", "g").agg(*one).toPandas()
     # Sums of one order: runs give equal weights.
     sample = sample.sort_values(["h", "g"])
-    x = np.array([np.frombuffer(b, np.float32) for b in sample["x"]]).reshape(len(sample), WIDTH)
-    return fit(x, sample["y"].to_numpy(float), counts=sample["weight"].to_numpy(float))
+    x = np.zeros((len(sample), WIDTH), np.float32)
+    for i, (cells, shares) in enumerate(zip(sample["cells"], sample["shares"])):
+        x[i, np.frombuffer(cells, "<u2")] = np.frombuffer(shares, "<f4")
+    return fit(x, sample["pattern"].map(posterior).to_numpy(float), counts=sample["weight"].to_numpy(float))
 
 
-def score(docs: DataFrame, weights: np.ndarray, text: str = "text", least: float = 0.5) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``kept`` (score at least ``least``)."""
+def score(found: DataFrame, weights: np.ndarray, least: float = 0.5) -> DataFrame:
+    """``doc``, ``score`` (0 to 1) and ``kept`` (score at least ``least``) of what ``study`` found."""
 
     @F.pandas_udf("double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        shapes = Shapes()
-        for texts in batches:
-            out = np.zeros(len(texts))
-            for i, d in enumerate(map(Document, texts)):
-                if d.words and len(d.words) < MIN_WORDS:
-                    out[i] = 0.5
-                elif d.words:
-                    out[i] = 1 / (1 + np.exp(-(shapes(d) @ weights[:-1] + weights[-1])))
-            yield pd.Series(out)
-
-    own = [c for c in docs.columns if c not in ("score", "kept")]
-    return docs.select(*[F.col(f"`{c}`") for c in own], scored(F.col(text)).alias("score")).withColumn(
-        "kept", F.col("score") >= least
-    )
+    def scored(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for n_words, cells, shares in batches:
+            sums = [
+                weights[np.frombuffer(c, "<u2")] @ np.frombuffer(s, "<f4").astype(float) for c, s in zip(cells, shares)
+            ]
+            out = 1 / (1 + np.exp(-np.clip(np.array(sums, float) + weights[-1], -700, 700)))
+            n = n_words.to_numpy()
+            yield pd.Series(np.where(n == 0, 0.0, np.where(n < MIN_WORDS, 0.5, out)))
+
+    result = found.select("doc", scored("n_words", "cells", "shares").alias("score"))
+    return result.withColumn("kept", F.col("score") >= least)
 
 
 def classify(
-    docs: DataFrame, labellers: Mapping[str, Callable[[Document], int]] = LABELLERS, text: str = "text"
+    docs: DataFrame,
+    labellers: Mapping[str, Callable[[Document], int]] = LABELLERS,
+    text: str = "text",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Train on ``docs`` and score them."""
-    return score(docs, train(docs, labellers, text), text)
+    """Train on ``docs`` and score them: the columns ``keep``, by default all, with score and kept."""
+    found = study(docs, labellers, text, keep)
+    return score(found, train(found)).select("doc.*", "score", "kept")
 
 
 def accuracy(votes: Sequence[bool], truth: Sequence[bool]) -> float:

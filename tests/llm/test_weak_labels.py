@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from covdrift.llm.quality_rules import Document
-from covdrift.llm.weak_labels import LABELLERS, MIN_WORDS, accuracy, classify, estimate, score, train, vote_patterns
+from covdrift.llm.weak_labels import LABELLERS, MIN_WORDS, Shapes, Studied, accuracy, classify, estimate, score, study, train, vote_patterns
 from tests.llm.helpers import docs, odd_texts
 
 
@@ -46,7 +46,7 @@ def test_estimation_finds_good_and_bad_voters():
 def test_patterns_count_all_documents(spark):
     rng = random.Random(1)
     texts = [prose(rng) for _ in range(5)] + [junk(rng, k) for k in range(3)] + odd_texts()[:6]
-    got = {r.pattern: r["count"] for r in vote_patterns(docs(spark, texts)).collect()}
+    got = {r.pattern: r["count"] for r in vote_patterns(study(docs(spark, texts))).collect()}
     ds = [d for d in map(Document, texts) if len(d.words) >= MIN_WORDS]
     assert got == Counter("".join(str(v(d)) for v in LABELLERS.values()) for d in ds)
 
@@ -74,8 +74,26 @@ def test_a_large_copy_group_does_not_fill_the_sample(spark):
     tried = docs(spark, [prose(rng) for _ in range(60)]).selectExpr("text", f"pmod(xxhash64(text), {every}) AS m")
     copied = tried.where("m = 0").first().text
     frame = docs(spark, [copied] * copies + texts)
-    weights = train(frame, rows=rows)
+    found = study(frame)
+    weights = train(found, rows=rows)
     assert np.abs(weights).max() > 0
-    scored = score(frame.where(f"doc_id >= {copies}"), weights).orderBy("doc_id").collect()
+    scored = score(found.where(f"doc.doc_id >= {copies}"), weights).orderBy("doc.doc_id").collect()
     assert accuracy([r.kept for r in scored], [True] * 150 + [False] * 75) > 0.9
-    assert np.array_equal(weights, train(frame.orderBy(F.desc("doc_id")).repartition(5), rows=rows))
+    assert np.array_equal(weights, train(study(frame.orderBy(F.desc("doc_id")).repartition(5)), rows=rows))
+
+
+def test_numbered_words_give_the_same_measures():
+    rng = random.Random(9)
+    texts = odd_texts() + [" ".join(rng.choice("abc") for _ in range(n)) for n in range(2, 60)] + [prose(rng), "a a a a"]
+    for text in texts:
+        plain, studied = Document(text), Studied(text)
+        assert studied.repeated_words == plain.repeated_words and studied.top_count == plain.top_count
+        cells, shares = Shapes().sparse(studied)
+        want = Counter()
+        shapes = Shapes()
+        for i, word in enumerate(plain.words):
+            want[shapes._shape(word)] += 1
+            for lag in (1, 2, 3):
+                if i >= lag and plain.words[i - lag] == word:
+                    want[shapes._cell(f"lag {lag}")] += 1
+        assert {int(c): round(float(s) ** 2 * len(plain.words)) for c, s in zip(cells, shares)} == dict(want)
