@@ -52,7 +52,7 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_weak_labels(spark: SparkSession, folder: str) -> DataFrame:
     """Score and verdict of each document."""
-    return weak_labels.classify(_table(spark, folder, "documents")).select("doc_id", "score", "kept")
+    return weak_labels.classify(_table(spark, folder, "documents"), keep=["doc_id"])
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,6 +79,7 @@ def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         (n_bytes - left).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        left.cast("long").alias("n_kept"),
     )
 
 
