@@ -109,6 +109,17 @@ class ChunkEncoder:
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
+def _encoder(path: str) -> ChunkEncoder:
+    """One encoder a worker process: its later tasks find the tokenizer loaded and words known."""
+    import tokenizers
+
+    # Code comes to the workers by value, so what outlives a task hangs on an imported module.
+    known = vars(tokenizers).setdefault("_chunk_encoders", {})
+    if path not in known:
+        known[path] = ChunkEncoder(path)
+    return known[path]
+
+
 class Packer:
     """The windows of one task. Pieces are [doc_id, start, length, ids, doc_tokens]."""
 
@@ -219,7 +230,7 @@ def pack(
     folder = f"{spark.sparkContext.getCheckpointDir()}/packing-{uuid.uuid4().hex}"
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = ChunkEncoder(tokenizer)
+        encode = _encoder(tokenizer)
         part = TaskContext.get().partitionId()
         packer = Packer(_first(0, part), part, window, open_windows, max_gap)
         end = END_ID.to_bytes(4, "little")
