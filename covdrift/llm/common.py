@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,6 +54,19 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return joined.withColumn(name, F.col("_start") + at).drop("_part", "_start", "_at")
 
 
+def quoted(names: Iterable[str]) -> list[Column]:
+    """Columns by their whole names, dots and backticks included."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, UPPER.lower())

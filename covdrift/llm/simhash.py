@@ -4,12 +4,16 @@ A document's fingerprint takes the majority bit of the hashes of its word shingl
 link at ``BITS`` or fewer differing bits. Documents with equal fingerprints are one class, so the
 join sees each distinct fingerprint once.
 
-* Candidates: the 64 bits are cut into four blocks; two differing bits leave two blocks alike, so
-  both fingerprints share one of six two-block keys.
 * The pivot table holds each fingerprint's Hamming distance to sixteen reference fingerprints. By
-  the triangle inequality a pair is at least as far apart as its largest coordinate difference:
-  pairs whose maximum is above the threshold are discarded, survivors are verified bit by bit.
-* Keys shared by more than ``HOT`` fingerprints never emit pairs. Their members list themselves
+  the triangle inequality a pair is at least as far apart as its largest coordinate difference.
+* Candidates: a distance is put into a cell of four. A partner's distance is at most two away, so
+  it lies in the own cell or in the nearer neighbour. The 64 bits are also cut into four blocks, of
+  which two differing bits leave two alike. A fingerprint is indexed by two blocks and its cell of
+  the first pivot, and looked for by the same blocks and both cells. Pairs with a larger coordinate
+  difference than the threshold are discarded, survivors are verified bit by bit.
+* The rows of a key with more than ``HOT`` of them are dealt again, by the cells of the next
+  ``FINER`` pivots as well.
+* Keys that are still as large never emit pairs. Their members list themselves
   and their 64 one-bit neighbours: two of them are within two bits exactly if a listed value is
   common. A value has at most 65 members, and all are linked to its smallest.
 
@@ -21,9 +25,9 @@ must be a stable table: ``near_duplicates`` scans it twice.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pandas as pd
@@ -31,12 +35,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covdrift.llm.common import components, fixed
+from covdrift.llm.common import components, fixed, free_name
 
 BITS = 2
 BLOCKS = 4
 HOT = 64
 PIVOTS = 16
+#: Width of a pivot cell, twice ``BITS``; pivots that deal the rows of a hot key again.
+CELL = 4
+FINER = range(1, 5)
 _COUNT_ROWS = 1 << 15
 
 
@@ -92,16 +99,35 @@ def pivot_table(fps: DataFrame) -> DataFrame:
     return fps
 
 
+def _distance(pivot: int, side: str = "") -> Column:
+    """Distance to one reference, out of the table's columns."""
+    return F.shiftrightunsigned(f"{side}d{pivot // 8}", 8 * (pivot % 8)).bitwiseAND(F.lit(255))
+
+
 def _within(bits: int) -> Column:
     """No coordinate of the two rows' pivot distances differs by more than ``bits``."""
-    gaps = []
-    for half in range(PIVOTS // 8):
-        for i in range(8):
-            one, two = (
-                F.shiftrightunsigned(f"{side}.d{half}", 8 * i).bitwiseAND(F.lit(255)) for side in "xy"
-            )
-            gaps.append(F.abs(one - two))
-    return F.greatest(*gaps) <= bits
+    return F.greatest(*[F.abs(_distance(i, "x.") - _distance(i, "y.")) for i in range(PIVOTS)]) <= bits
+
+
+def _cells(pivot: int) -> tuple[Column, Column]:
+    """The own cell of a distance, and the one neighbour that ``BITS`` differing bits can reach."""
+    distance = _distance(pivot)
+    own = F.floor(distance / CELL)
+    return own, own + F.when(distance % CELL < BITS, -1).otherwise(1)
+
+
+def _cell_keys(keyed: DataFrame, pivots: Iterable[int]) -> DataFrame:
+    """``keyed`` (fp, d0, d1, key, probe) with finer keys: the own cells, and for the probes all others.
+
+    The row with the own cells of an index row is an index row again; it is met by all.
+    """
+    ways = list(product(*map(_cells, pivots)))
+    finer = [
+        F.struct(F.xxhash64("key", *way).alias("key"), (F.col("probe") | F.lit(i > 0)).alias("probe"))
+        for i, way in enumerate(ways)
+    ]
+    each = keyed.withColumn("k", F.explode(F.array(*finer)))
+    return each.select("fp", "d0", "d1", "k.key", "k.probe")
 
 
 def _block_keys() -> Column:
@@ -117,29 +143,44 @@ def _block_keys() -> Column:
     return F.array(*keys)
 
 
-def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
-    """Edges (a, b) that connect exactly the distinct ``fp`` values within ``BITS`` bits.
+def _shared(keyed: DataFrame) -> DataFrame:
+    """The rows of keys under which an index row meets another fingerprint, with their number."""
+    size = keyed.groupBy("key").agg(
+        F.count("*").alias("n"), F.bool_and("probe").alias("idle"), F.min("fp").alias("lo"), F.max("fp").alias("hi")
+    )
+    return fixed(keyed.join(size.where("not idle and lo < hi").select("key", "n"), "key"))
 
-    Every linked pair of a small key is returned; members of a hot key are linked through stars.
-    """
-    table = pivot_table(fps.select("fp"))
-    keyed = table.withColumn("key", F.explode(_block_keys()))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    keyed = fixed(keyed.join(shared, "key"))
+
+def _pairs(keyed: DataFrame, hot: int) -> DataFrame:
+    """Pairs (a, b) within ``BITS`` bits that share a small key, the smaller value by an index row."""
     few = keyed.where(F.col("n") <= hot)
-    pairs = (
-        few.alias("x")
-        .join(few.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp")))
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.fp") < F.col("y.fp"))
+    return (
+        few.where("not probe")
+        .alias("x")
+        .join(few.alias("y"), met)
         .where(_within(BITS))
         .where(F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= BITS)
         .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
     )
+
+
+def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
+    """Edges (a, b) that connect exactly the distinct ``fp`` values within ``BITS`` bits.
+
+    Every linked pair of a small key is returned; members of a hot key are linked through stars.
+    """
+    table = pivot_table(fps.select("fp"))
+    blocks = table.withColumn("key", F.explode(_block_keys())).withColumn("probe", F.lit(False))
+    coarse = _shared(_cell_keys(blocks, [0]))
+    fine = _shared(_cell_keys(coarse.where(F.col("n") > hot).drop("n"), FINER))
+    pairs = _pairs(coarse, hot).union(_pairs(fine, hot))
     flips = F.transform(
         F.sequence(F.lit(0), F.lit(63)),
         lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)),
     )
     near = (
-        keyed.where(F.col("n") > hot)
+        fine.where(F.col("n") > hot)
         .select("fp")
         .distinct()
         .withColumn("value", F.explode(F.concat(F.array("fp"), flips)))
@@ -181,6 +222,7 @@ def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate class: the smallest doc_id, nulls last."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     best = classes(docs, text).groupBy("component").agg(F.min(order).alias("best"))
-    chosen = best.select(F.col("best.row").alias("_row"))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.join(chosen, "_row", "left_semi").drop("_row")
+    row = free_name(docs, "_row")
+    chosen = best.select(F.col("best.row").alias(row))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(chosen, row, "left_semi").drop(row)

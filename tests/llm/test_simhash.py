@@ -5,6 +5,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from covdrift.llm.simhash import keep_one, links, near_duplicates, simhash
 from tests.llm.helpers import docs, odd_texts, union_find, words
@@ -76,5 +77,22 @@ def test_one_of_each_class_stays(spark):
     assert {r.doc_id for r in rows} == {r.component_id for r in near_duplicates(frame).collect()}
 
 
+def test_crowded_blocks_fall_apart_by_pivot_cells(spark):
+    # All values share two blocks, so only the pivots tell them apart; some are two bits from another.
+    rng = random.Random(4)
+    values = {rng.getrandbits(32) for _ in range(600)}
+    values |= {v ^ 1 << rng.randrange(32) ^ 1 << rng.randrange(32) for v in sorted(values)[:60]}
+    frame = spark.createDataFrame([(v,) for v in sorted(values)], "fp long")
+    got = {(r.a, r.b) for r in links(frame, 150).collect()}
+    assert got == {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2}
+
+
+def test_clashing_columns_pass_through(spark):
+    frame = docs(spark, given()).withColumns({"_row": F.lit("a"), "_ROW ": F.lit("b"), "x.y": F.lit("c")})
+    kept = keep_one(frame)
+    assert kept.columns == frame.columns
+    assert {(r["_row"], r["_ROW "], r["x.y"]) for r in kept.collect()} == {("a", "b", "c")}
+
+
 def test_empty_table(spark):
     assert near_duplicates(docs(spark, [])).count() == 0 and keep_one(docs(spark, [])).count() == 0
