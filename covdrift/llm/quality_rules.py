@@ -3,11 +3,14 @@
 Each rule looks at one document and says whether to reject it. On a sample every rule runs on
 every document and is timed; the cascade then tries the rules by falling rejections per second and
 stops at the first rejection. Measures that rules share (words, lines) are computed when first
-asked for. The order changes the work only: a document is kept exactly if no rule rejects it.
+asked for, and a rule is timed with those known that the cascade has before its first rule: it is
+charged what it adds. What only rules share among each other is charged to each of them. The order
+changes the work only: a document is kept exactly if no rule rejects it.
 
 Words are runs of anything but ASCII white space. Defined cases: null and empty texts have no
 words and fail the base; repeated rows and null ids are judged as any other; texts are read whole;
-an empty table keeps the order in which the rules were given. Other columns pass through.
+an empty table keeps the order in which the rules were given. Other columns pass through; one that
+has the name of a column which ``judge`` adds is replaced by it.
 """
 
 from __future__ import annotations
@@ -23,9 +26,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from covdrift.llm.common import free_name, quoted
+
 MIN_WORDS = 50
 SYMBOLS = re.compile(r"[#*$%&|<>]")
-#: Rows of the sample that times the rules, and the share of the table it is drawn from.
+#: Rows of the sample that times the rules, and the share of the table it is drawn from. Smaller
+#: tables are drawn from at a higher share, so that all that have the rows give about as many.
 SAMPLE_ROWS, SAMPLE_SHARE = 2000, 0.05
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -49,7 +55,7 @@ class Document:
 
     @property
     def word_chars(self) -> int:
-        return len(_SPACES.sub("", self.text))
+        return self._once("word_chars", lambda: len(_SPACES.sub("", self.text)))
 
     @property
     def symbols(self) -> int:
@@ -62,7 +68,7 @@ class Document:
 
     @property
     def duplicate_lines(self) -> int:
-        return len(self.lines) - len(set(self.lines))
+        return self._once("duplicates", lambda: len(self.lines) - len(set(self.lines)))
 
     @property
     def repeated_words(self) -> int:
@@ -96,6 +102,17 @@ class Document:
         n = len(self.words)
         return n < MIN_WORDS or 100 * self.repeated_words > 50 * n
 
+    @property
+    def base(self) -> tuple[int, ...]:
+        """The five measures of the base."""
+        return len(self.words), self.word_chars, self.symbols, self.duplicate_lines, self.repeated_words
+
+    def again(self) -> Document:
+        """The same text with the same measures known."""
+        other = Document(self.text)
+        other._known = dict(self._known)
+        return other
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -120,18 +137,27 @@ RULES: tuple[Rule, ...] = (
 )
 
 
-def rule_costs(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """(rule, seconds, seen, rejected) on a bounded sample of the documents that pass the base."""
+def rule_costs(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", measured: bool = True
+) -> DataFrame:
+    """(rule, seconds, seen, rejected) on a bounded sample of the documents that pass the base.
+
+    Seconds are those beyond the measures that the cascade has at its start: with ``measured`` all
+    of the base, else those that the base's verdict needs.
+    """
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         spent, rejected, seen = [0.0] * len(rules), [0] * len(rules), 0
         for batch in batches:
             for words in batch["text"]:
-                if Document(words).base_failed:
+                start = Document(words)
+                if start.base_failed:
                     continue
                 seen += 1
+                if measured:
+                    _ = start.base
                 for i, rule in enumerate(rules):
-                    fresh = Document(words)
+                    fresh = start.again()
                     began = time.perf_counter()
                     rejected[i] += rule.rejects(fresh)
                     spent[i] += time.perf_counter() - began
@@ -139,16 +165,19 @@ def rule_costs(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text
             {"rule": [r.name for r in rules], "seconds": spent, "seen": seen, "rejected": rejected}
         )
 
-    sample = docs.select(F.col(text).alias("text")).sample(SAMPLE_SHARE, seed=7).limit(SAMPLE_ROWS)
+    share = min(1.0, max(SAMPLE_SHARE, SAMPLE_ROWS / max(1, docs.count())))
+    sample = docs.select(F.col(text).alias("text")).sample(share, seed=7).limit(SAMPLE_ROWS)
     counted = sample.mapInPandas(measure, "rule string, seconds double, seen long, rejected long")
     return counted.groupBy("rule").agg(
         F.sum("seconds").alias("seconds"), F.sum("seen").alias("seen"), F.sum("rejected").alias("rejected")
     )
 
 
-def cascade_order(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> list[Rule]:
+def cascade_order(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", measured: bool = True
+) -> list[Rule]:
     """The rules by falling rejections per second on the sample (one row per rule is collected)."""
-    cost = {row["rule"]: row for row in rule_costs(docs, rules, text).collect()}
+    cost = {row["rule"]: row for row in rule_costs(docs, rules, text, measured).collect()}
 
     def gain(rule: Rule) -> float:
         row = cost.get(rule.name)
@@ -176,16 +205,19 @@ def judge(
             rows = []
             for words in texts:
                 d = Document(words)
-                base = (len(d.words), d.word_chars, d.symbols, d.duplicate_lines, d.repeated_words)
+                base = d.base
                 failed = d.base_failed
                 stopped = None if failed else next((r.name for r in ordered if r.rejects(d)), None)
                 rows.append((*base, failed, not failed and stopped is None, stopped))
             yield pd.DataFrame(rows, columns=_VERDICT)
 
-    return docs.withColumn("_v", verdict(F.col(text))).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.struct(*[f"_v.{c}" for c in _VERDICT[:5]]).alias("measures"),
-        *[F.col(f"_v.{c}").alias(c) for c in _VERDICT[5:]],
+    added = ["measures", *_VERDICT[5:]]
+    own = [c for c in docs.columns if c.lower() not in added]
+    found = free_name(docs, "_verdict")
+    return docs.withColumn(found, verdict(F.col(text))).select(
+        *quoted(own),
+        F.struct(*[F.col(found)[c].alias(c) for c in _VERDICT[:5]]).alias("measures"),
+        *[F.col(found)[c].alias(c) for c in _VERDICT[5:]],
     )
 
 
@@ -200,7 +232,7 @@ def passing(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text")
 
     The cascade stops at the first rejection, the base counting as its first rule.
     """
-    ordered = tuple(cascade_order(docs, rules, text))
+    ordered = tuple(cascade_order(docs, rules, text, measured=False))
 
     @F.pandas_udf("boolean")
     def keeps(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

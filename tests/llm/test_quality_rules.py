@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 import re
 
-from covdrift.llm.quality_rules import RULES, Document, Rule, cascade_order, judge, passing
+from pyspark.sql import functions as F
+
+from covdrift.llm.quality_rules import RULES, Document, Rule, cascade_order, judge, passing, rule_costs
 from tests.llm.helpers import docs, odd_texts, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,6 +62,32 @@ def test_cheap_rejecting_rules_come_first(spark):
     assert order[0].name == "all"
 
 
+def test_a_rule_is_charged_what_it_adds(spark):
+    # The first reads a measure that the base has made; alone it would cost far more than the second.
+    def shared(d):
+        return d.repeated_words >= 0
+
+    def added(d):
+        return sum(range(3_000)) > 0
+
+    rng = random.Random(5)
+    frame = docs(spark, [words(rng, 2_000) for _ in range(60)])
+    for measured in (True, False):
+        cost = {r["rule"]: r for r in rule_costs(frame, [Rule("added", added), Rule("shared", shared)], "text", measured).collect()}
+        assert cost["shared"]["seen"] == 60
+        assert cost["shared"]["seconds"] < cost["added"]["seconds"]
+
+
+def test_clashing_columns(spark):
+    more = {c: F.lit("theirs") for c in ("kept", "Measures", "base_failed", "failed_rule", "_verdict", "_v", "x.y")}
+    frame = docs(spark, texts()).withColumns(more)
+    judged, plain = judge(frame), judge(docs(spark, texts()))
+    assert judged.columns == [*docs(spark, []).columns, "_verdict", "_v", "x.y", *plain.columns[-4:]]
+    assert {(r.doc_id, r.kept) for r in judged.collect()} == {(r.doc_id, r.kept) for r in plain.collect()}
+    assert {r["_verdict"] + r["x.y"] for r in judged.collect()} == {"theirstheirs"}
+    assert passing(frame).columns == frame.columns
+
+
 def test_clean_prose_stays_and_junk_goes(spark):
     rng = random.Random(1)
     clean = [words(rng, 120) for _ in range(5)]
