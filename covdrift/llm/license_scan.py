@@ -3,9 +3,12 @@
 Texts and templates are sequences of lower-case words. Every k consecutive words of a text are
 hashed and joined with the template positions of the same hash. A match of text position p and
 template position q votes for the diagonal p - q: a copy of the template, even an edited one, has
-its votes on one diagonal or a few neighbouring ones. Votes are added per diagonal, diagonals at
-most ``DRIFT`` apart are merged into a span. A span is verified by the share of the template's k-grams
-or words that it holds, each counted once. Templates of ``SHORT`` words or fewer are matched by pairs
+its votes on one diagonal or a few neighbouring ones. Votes are added per diagonal, and a diagonal is
+merged with those of the next ``DRIFT`` (for long templates as many as the words that may be missing):
+no span drifts farther, however many matches lie side by side. A span is verified by its longest run
+of matches that goes forward in text and template at once, by the share of the template's k-grams or
+words in it: the same words in another order hold little of the template. Of spans of one template
+within the reach of each other the best stays. Templates of ``SHORT`` words or fewer are matched by pairs
 of words instead, and may miss the two words that one edit costs. What names the license must be
 unbroken in any case (``NAMED``): an edit there makes it another license.
 
@@ -20,6 +23,7 @@ ids are carried along; words are never cut off; other columns are ignored.
 from __future__ import annotations
 
 import json
+import math
 import re
 from collections.abc import Mapping
 from functools import reduce
@@ -221,6 +225,33 @@ def phrase_places(words: Column, phrases: Mapping[str, str]) -> Column:
     return F.concat(*found)
 
 
+def longest_run(near: Column) -> Column:
+    """(first, last, grams): the longest run of matches forward in text and template.
+
+    ``near`` holds (diagonal, held) of one span. Its matches are walked by template position; of the
+    runs of each length the one that ends earliest in the text is known. Later text positions of one
+    template position come first, so a run holds each once. There are at most as many matches as
+    diagonals in reach times grams, and as many runs as grams.
+    """
+    matches = F.flatten(
+        F.transform(
+            near,
+            lambda x: F.transform(x["held"], lambda q: F.struct(q.alias("q"), (-x["diagonal"] - q).alias("back"))),
+        )
+    )
+
+    def step(runs: Column, match: Column) -> Column:
+        p = -match["back"]
+        shorter = F.filter(runs, lambda run: run["last"] < p)
+        before = F.get(shorter, F.size(shorter) - 1)
+        grams = F.concat(F.coalesce(before["grams"], F.array().cast("array<int>")), F.array(match["q"]))
+        run = F.struct(F.coalesce(before["first"], p).alias("first"), p.alias("last"), grams.alias("grams"))
+        return F.concat(shorter, F.array(run), F.slice(runs, F.size(shorter) + 2, F.size(runs)))
+
+    none = F.array().cast("array<struct<first:int,last:int,grams:array<int>>>")
+    return F.aggregate(F.array_sort(matches), none, step, lambda runs: F.get(runs, F.size(runs) - 1))
+
+
 def scan(
     docs: DataFrame,
     templates: Mapping[str, tuple[str, str]] = TEMPLATES,
@@ -263,33 +294,42 @@ def scan(
     diagonal = F.when(F.col("p") >= 0, F.col("p") - F.col("q"))
     voted = votes.groupBy("row", "doc_id", "n_words", "template", "label", "grams", diagonal.alias("diagonal")).agg(
         F.first("base", ignorenulls=True).alias("base"),
-        F.min("p").alias("first"),
-        F.max("p").alias("last"),
         F.first("about").alias("about"),
-        F.collect_set("q").alias("held"),
+        F.sort_array(F.collect_set("q")).alias("held"),
     )
+    reach = F.greatest(F.lit(drift), F.ceil(F.col("about.count") * F.lit(1 - min_share)).cast("int"))
+    farthest = max([drift, *(math.ceil(len(template_words(t)) * (1 - min_share)) for _, t in templates.values())])
     near = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > drift, F.lit(True))
-    grouped = voted.withColumn("span", F.sum(apart.cast("int")).over(near))
-    spans = grouped.groupBy("row", "doc_id", "n_words", "template", "label", "grams", "span").agg(
-        F.first("base", ignorenulls=True).alias("base"),
-        F.min("first").alias("first"),
-        (F.max("last") + F.first("about.size") - 1).alias("last"),
-        F.first("about").alias("about"),
-        F.array_distinct(F.flatten(F.collect_list("held"))).alias("held"),
-    )
-    share = F.size("held") / F.col("grams")
-    covered = F.transform("held", lambda q: F.sequence(q, q + F.col("about.size") - 1))
-    covered = F.size(F.array_distinct(F.flatten(covered)))
+    line = F.struct("diagonal", "held")
+    merged = voted.withColumn("near", F.collect_list(line).over(near.rangeBetween(0, farthest)))
+    own = F.filter("near", lambda x: x["diagonal"] <= F.col("diagonal") + reach)
+    merged = merged.withColumn("near", F.when(F.col("template").isNotNull(), own))
     # One edit costs a short notice two words at most: its own, and a neighbour that it cuts off.
     least = F.col("about.count") * F.lit(min_share)
     least = F.when(F.col("about.count") <= SHORT, F.least(least, F.col("about.count") - 2)).otherwise(least)
-    whole = F.size(F.array_except("about.must", "held")) == 0
-    span = F.struct("template", "label", "first", "last", share.alias("share"))
-    good = F.col("template").isNotNull() & whole & ((share >= min_share) | (covered >= least))
+
+    def enough(grams: Column) -> Column:
+        covered = F.flatten(F.transform(grams, lambda q: F.sequence(q, q + F.col("about.size") - 1)))
+        return (F.size(grams) / F.col("grams") >= min_share) | (F.size(F.array_distinct(covered)) >= least)
+
+    any_order = F.array_distinct(F.flatten(F.transform("near", lambda x: x["held"])))
+    merged = merged.withColumn("any", any_order)
+    whole = F.size(F.array_except("about.must", "any")) == 0
+    merged = merged.withColumn("run", F.when(whole & enough(F.col("any")), longest_run(F.col("near"))))
+    share = F.size("run.grams") / F.col("grams")
+    span = F.struct(
+        "template", "label", F.col("run.first").alias("first"),
+        (F.col("run.last") + F.col("about.size") - 1).alias("last"), share.alias("share"),
+    )
+    rated = merged.withColumn("span", F.when(enough(F.col("run.grams")), span))
+    # The best span around: the largest share, then the first.
+    rank = F.when(F.col("span").isNotNull(), F.struct(F.col("span.share"), -F.col("diagonal")))
+    rated = rated.withColumn("rank", rank)
+    best = F.max("rank").over(near.rangeBetween(-farthest, farthest))
+    spans = rated.withColumn("span", F.when(F.col("rank") == best, F.col("span")))
     return spans.groupBy("row", "doc_id", "n_words").agg(
         F.first("base", ignorenulls=True).alias("base"),
-        F.array_sort(F.collect_list(F.when(good, span))).alias("spans"),
+        F.array_sort(F.collect_list("span")).alias("spans"),
     ).drop("row")
 
 

@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 import re
 
-from covdrift.llm.license_scan import PHRASES, TEMPLATES, labelled, scan, template_words
+from pyspark.sql import functions as F
+
+from covdrift.llm.license_scan import PHRASES, TEMPLATES, labelled, longest_run, scan, template_words
 from tests.llm.helpers import docs, odd_texts, words
 
 
@@ -74,6 +76,42 @@ def test_span_of_an_edited_copy(spark):
     assert 0.8 <= span.share < 1
 
 
+def chain(matches):
+    """Length of the longest run of (p, q) that grows in both."""
+    best = {}
+    for p, q in sorted(matches):
+        best[p, q] = 1 + max((n for (a, b), n in best.items() if a < p and b < q), default=0)
+    return max(best.values(), default=0)
+
+
+def test_longest_run_matches_brute_force(spark):
+    rng = random.Random(8)
+    given = [
+        [(d, sorted(rng.sample(range(12), rng.randrange(1, 9)))) for d in sorted(rng.sample(range(9), rng.randrange(1, 6)))]
+        for _ in range(40)
+    ]
+    frame = spark.createDataFrame(
+        [(i, near) for i, near in enumerate(given)], "i int, near array<struct<diagonal:int,held:array<int>>>"
+    )
+    rows = frame.select("i", "near", longest_run(F.col("near")).alias("run")).orderBy("i").collect()
+    for row, near in zip(rows, given, strict=True):
+        matches = {(d + q, q) for d, held in near for q in held}
+        grams = row.run.grams
+        assert len(grams) == chain(matches) and grams == sorted(set(grams))
+        assert (row.run.first, grams[0]) in matches and (row.run.last, grams[-1]) in matches
+
+
+def test_shuffled_pieces_get_no_label_and_two_copies_give_two_spans(spark):
+    grant = TEMPLATES["mit-grant"][1].split()
+    pieces = [grant[i : i + 4] for i in range(0, len(grant), 4)]
+    mixed = " ".join(w for piece in reversed(pieces) for w in piece)
+    twice = " ".join(grant) + " and " + " ".join(grant)
+    rows = scan(docs(spark, [mixed, twice])).orderBy("doc_id").collect()
+    assert rows[0].spans == []
+    n = len(grant)
+    assert [(s.first, s.last) for s in rows[1].spans] == [(0, n - 1), (n + 1, 2 * n)]
+
+
 def test_empty_table_and_repeated_rows(spark):
     assert scan(docs(spark, [])).count() == 0
     rows = labelled(scan(docs(spark, ["cc by"] * 3, ids=[None, 4, 4]))).collect()
@@ -102,6 +140,10 @@ def test_edited_notices_keep_their_label_and_other_licenses_do_not(spark):
         "Licensed under the GNU GPL, version 2": "",
         "Released under the house license": "",
         "Licensed under CC BY 4.0": "cc-by",
+        # The same words in another order; of the second one, the end is a notice with one word put in.
+        "mit license the mit under the licensed under": "",
+        "alpha the mit beta licensed under the gamma mit license": "mit",
+        " ".join(reversed(TEMPLATES["mit-grant"][1].split())): "",
     }
     rows = labelled(scan(docs(spark, list(want)))).orderBy("doc_id").collect()
     assert {t: r.labels for t, r in zip(want, rows, strict=True)} == want
