@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from covdrift.llm.common import fixed, word_count
+from covdrift.llm.common import fixed, free_name, quoted, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_COPIES = 3
@@ -206,9 +206,8 @@ def mix(docs: DataFrame, seed: int = SEED, text: str = "text") -> DataFrame:
 
 def mixed(docs: DataFrame, seed: int = SEED, text: str = "text") -> DataFrame:
     """``docs`` with each document repeated as often as the mix takes it."""
-    chosen = mix(docs, seed, text).where("copies > 0").select(F.col("row").alias("_row"), "copies")
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    repeated = numbered.join(chosen, "_row").withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    )
-    return repeated.select(*docs.columns)
+    row, times = free_name(docs, "_row"), free_name(docs, "_times")
+    chosen = mix(docs, seed, text).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(times))
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))
+    return numbered.join(chosen, row).select(*quoted(docs.columns), each.alias(row)).drop(row)
