@@ -11,8 +11,8 @@ join sees each distinct fingerprint once.
   which two differing bits leave two alike. A fingerprint is indexed by two blocks and its cell of
   the first pivot, and looked for by the same blocks and both cells. Pairs with a larger coordinate
   difference than the threshold are discarded, survivors are verified bit by bit.
-* The rows of a key with more than ``HOT`` of them are dealt again, by the cells of the next
-  ``FINER`` pivots as well.
+* A row meets the index rows of its key. The rows of a key with more than ``HOT`` index rows are
+  dealt again, by the cells of the next ``FINER`` pivots as well.
 * Keys that are still as large never emit pairs. Their members list themselves
   and their 64 one-bit neighbours: two of them are within two bits exactly if a listed value is
   common. A value has at most 65 members, and all are linked to its smallest.
@@ -144,11 +144,11 @@ def _block_keys() -> Column:
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """The rows of keys under which an index row meets another fingerprint, with their number."""
+    """The rows of keys under which an index row meets another fingerprint; ``n`` counts its index rows."""
     size = keyed.groupBy("key").agg(
-        F.count("*").alias("n"), F.bool_and("probe").alias("idle"), F.min("fp").alias("lo"), F.max("fp").alias("hi")
+        F.count_if(~F.col("probe")).alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")
     )
-    return fixed(keyed.join(size.where("not idle and lo < hi").select("key", "n"), "key"))
+    return fixed(keyed.join(size.where("n > 0 and lo < hi").select("key", "n"), "key"))
 
 
 def _pairs(keyed: DataFrame, hot: int) -> DataFrame:

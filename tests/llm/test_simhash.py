@@ -83,7 +83,7 @@ def test_crowded_blocks_fall_apart_by_pivot_cells(spark):
     values = {rng.getrandbits(32) for _ in range(600)}
     values |= {v ^ 1 << rng.randrange(32) ^ 1 << rng.randrange(32) for v in sorted(values)[:60]}
     frame = spark.createDataFrame([(v,) for v in sorted(values)], "fp long")
-    got = {(r.a, r.b) for r in links(frame, 150).collect()}
+    got = {(r.a, r.b) for r in links(frame, 60).collect()}
     assert got == {(a, b) for a in values for b in values if a < b and (a ^ b).bit_count() <= 2}
 
 
