@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from covdrift.llm.mixing import mix, mixed, pivotal, targets
 from tests.llm.helpers import docs, odd_texts, words
@@ -79,3 +80,11 @@ def test_empty_sizes(spark):
     assert mix(docs(spark, [])).count() == 0
     rows = mix(docs(spark, [None, "", "a b"], ["x", "x", "y"], ids=[1, 1, None])).collect()
     assert sorted((r.size, r.copies, r.target) for r in rows) == [(0, 0, 0.0), (0, 0, 0.0), (2, 1, 2.0)]
+
+
+def test_clashing_columns_pass_through(spark):
+    more = {"_row": F.lit("a"), "copies": F.lit("b"), "_times": F.lit("c"), "x.y": F.lit("d")}
+    frame = docs(spark, ["a b", "c d e", None, "f"], ["s", "s", "t", None]).withColumns(more)
+    out = mixed(frame)
+    assert out.columns == frame.columns
+    assert {(r["_row"], r["copies"], r["_times"], r["x.y"]) for r in out.collect()} == {("a", "b", "c", "d")}
