@@ -54,6 +54,20 @@ def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return joined.withColumn(name, F.col("_start") + at).drop("_part", "_start", "_at")
 
 
+def join_split(rows: DataFrame, table: DataFrame, on: list[str], total: int, how: str = "inner", share: int = 1000) -> DataFrame:
+    """``rows`` joined with ``table``, of which hot keys do not go to one task.
+
+    ``table`` has one row per key and in ``n`` the number of rows that hold it, of ``total`` in all.
+    Fewer than ``share`` keys can hold more than one in ``share`` of the rows: they are broadcast,
+    and their rows stay where they are. The others are joined as usual. ``how``: inner or left.
+    """
+    hot = table.where(F.col("n") * share > total).drop("n")
+    cold = table.where(F.col("n") * share <= total).drop("n")
+    still = rows.join(F.broadcast(hot), on)
+    moved = rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, how)
+    return still.unionByName(moved)
+
+
 def quoted(names: Iterable[str]) -> list[Column]:
     """Columns by their whole names, dots and backticks included."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in names]

@@ -1,14 +1,13 @@
-"""Exact removal of long repeated byte strings by ranks refined at growing lengths.
+"""Exact removal of long repeated byte strings by anchor hashing at growing lengths.
 
-A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else. As in
-prefix doubling, positions carry a rank that names the string they start; each round ranks the
-survivors again by a longer string, and drops those that became unique. Ranking every position of
-the corpus would shuffle thirty bytes for each byte read, nine times. So the first round is
-thinned, exactly:
+A byte is removed if a string of ``LENGTH`` bytes that covers it also starts anywhere else. This is
+not prefix doubling: positions are thinned before they are ranked, and a rank names its string
+outright instead of pairing two ranks of half its length. What is kept of that method is that
+strings are ranked at growing lengths and those that became unique drop out.
 
 1. Of the ``GRAM``-byte strings in a window of ``LENGTH`` bytes, the one with the least hash is its
    anchor. Equal windows have equal anchors at equal offsets, so neighbouring windows share a
-   position (one in some 170 is left), ranked by its ``GRAM`` bytes. Unique ones are dropped.
+   position (one in some 130 is left), ranked by its ``GRAM`` bytes. Unique ones are dropped.
 2. The windows of an anchor are cut into runs of ``RUN`` offsets, ranked by the bytes all windows
    of a run have in common (``LENGTH`` - ``RUN`` + 1): unique ones are dropped. A run whose windows
    are all there and whose whole stretch (``LENGTH`` + ``RUN`` - 1 bytes) is not unique is settled.
@@ -17,7 +16,8 @@ thinned, exactly:
 
 A rank is a hash of the string itself (64 bits where it may only drop, 128 where it removes), so
 ranks need no sort across the cluster; a round is one grouped minimum and maximum of the places
-that hold it, combined before the shuffle, and a join back. No group is ever listed.
+that hold it, combined before the shuffle, and a join back, in which the few ranks that hold more
+than a thousandth of all places are broadcast. No group is ever listed.
 
 Equal texts are one text to the search; a text with a copy is removed whole if it has ``LENGTH``
 bytes. Defined cases: null is empty; texts under ``LENGTH`` bytes keep all; repeated rows are
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from covdrift.llm.common import stored
+from covdrift.llm.common import join_split, stored
 
 LENGTH = 400
 GRAM = 64
@@ -168,9 +168,9 @@ def _each_text(rows: DataFrame, make, schema: str) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, rank: list[str], place: Column) -> DataFrame:
-    """The ranks that stand at two places or more, and the ``least`` of their places."""
-    seen = rows.groupBy(*rank).agg(F.min(place).alias("least"), F.max(place).alias("most"))
-    return seen.where("least <> most").select(*rank, "least")
+    """The ranks that stand at two places or more, the ``least`` place, and the ``n`` rows of each."""
+    seen = rows.groupBy(*rank).agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count("*").alias("n"))
+    return seen.where("least <> most").drop("most")
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int = RUN, text: str = "text") -> DataFrame:
@@ -182,8 +182,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int =
         return {"key": key, "anchor": anchor, "lo": lo, "hi": hi}
 
     found = stored(_each_text(named.drop("row", "doc_id"), first, "key long, anchor long, lo long, hi long"))
-    shared = _repeated(found, ["key"], F.xxhash64(*ID, "anchor")).drop("least")
-    places = found.join(shared, "key").select(*ID, F.struct("anchor", "lo", "hi").alias("p")).distinct()
+    shared = _repeated(found, ["key"], F.xxhash64(*ID, "anchor"))
+    places = join_split(found, shared, ["key"], found.count())
+    places = places.select(*ID, F.struct("anchor", "lo", "hi").alias("p")).distinct()
     reps = named.groupBy(*ID).agg(F.min("row").alias("row"))
 
     def with_text(places: DataFrame) -> DataFrame:
@@ -196,25 +197,29 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, run: int =
     schema = "lo long, hi long, core long, k1 long, k2 long"
     cut = stored(_each_text(with_text(places), second, schema))
     place = F.xxhash64(*ID, "lo")
-    common = cut.join(_repeated(cut, ["core"], place).drop("least"), "core")
-    same = _repeated(cut, ["k1", "k2"], place)
-    common = stored(
-        common.join(same, ["k1", "k2"], "left").select(
+    total = cut.count()
+    same = join_split(cut, _repeated(cut, ["k1", "k2"], place), ["k1", "k2"], total, "left")
+    ranked = stored(
+        same.select(
             *ID, "lo", "hi", "core",
             F.col("least").isNotNull().alias("settled"),
             (F.col("least") == place).alias("leads"),
         )
     )
-    rest = common.where("not settled")
-    leads = common.where("settled and leads").join(rest.select("core").distinct(), "core", "left_semi")
+    rest = stored(
+        join_split(ranked.where("not settled"), _repeated(cut, ["core"], place), ["core"], total)
+        .select(*ID, "lo", "hi", "core")
+    )
+    leads = ranked.where("settled and leads").select(rest.columns)
+    leads = leads.join(rest.select("core").distinct(), "core", "left_semi")
 
     def third(data: bytes, r) -> dict:
         return windows(data, np.array([(p["lo"], p["hi"]) for p in r.places]), length)
 
     left = rest.unionByName(leads).select(*ID, F.struct("lo", "hi").alias("p"))
     single = stored(_each_text(with_text(left), third, "lo long, hi long, k1 long, k2 long"))
-    hit = single.join(_repeated(single, ["k1", "k2"], place), ["k1", "k2"])
-    both = common.where("settled").select(*ID, "lo", "hi").union(hit.select(*ID, "lo", "hi"))
+    hit = join_split(single, _repeated(single, ["k1", "k2"], place), ["k1", "k2"], single.count())
+    both = ranked.where("settled").select(*ID, "lo", "hi").union(hit.select(*ID, "lo", "hi"))
     return both.select(*ID, F.col("lo").alias("start"), (F.col("hi") + length).alias("stop"))
 
 
