@@ -68,7 +68,7 @@ def taken_events(sources: DataFrame, insurance: DataFrame) -> DataFrame:
     """Events that take the coverage in force on each source's date; those without any are left out."""
     dated = sources.withColumnRenamed("source_date", "event_date")
     coverage = in_force_at(dated, insurance).select("patient_id", "event_date", *COVERAGE_FIELDS)
-    found = dated.join(coverage, ["patient_id", "event_date"]).withColumnRenamed("event_date", "source_date")
+    found = dated.hint("merge").join(coverage, ["patient_id", "event_date"]).withColumnRenamed("event_date", "source_date")
     return conform(found.withColumn("has_coverage", F.lit(1)), EVENT_SCHEMA)
 
 

@@ -224,3 +224,49 @@ def test_one_patient_with_very_many_rows_and_events_is_not_paired(spark, folder)
         for day in range(at, min(days, at + length + 1)):
             best[day] = max(best.get(day, (-1, -1)), (at, i))
     assert got == {date(2015, 1, 1) + DAY * d: i for d, (_, i) in best.items()}
+
+
+def _joins(df):
+    """Join operators of the executed plan that take ``event_date`` or a block of days as a key or a column."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text, [line for line in text.splitlines() if "Join" in line]
+
+
+@pytest.mark.parametrize("n", [5, 500])
+def test_days_are_never_broadcast(spark, make, n):
+    """A small file of days is large in memory: each stood in the driver once per block size."""
+    days = [(p, date(2020, 1, 1) + DAY * d) for p in range(3) for d in range(0, 2000, 100)]
+    events = spark.createDataFrame(days, "patient_id bigint, event_date date")
+    rows = make("patient_insurance", *[
+        {"patient_id": p, "sr_id": i, "priority": "P", "start_date": date(2020, 1, 1) + DAY * (i * 7 % 2000)}
+        for p in range(3) for i in range(n)
+    ])
+    text, joins = _joins(in_force_at(events, rows))
+    # Only the keys of patients may be sent to all executors.
+    assert joins and all("LeftSemi" in line or "LeftAnti" in line for line in joins if "Broadcast" in line), joins
+    assert any("SortMergeJoin" in line for line in joins)
+
+
+def test_rows_of_ordinary_patients_are_not_copied_into_blocks(spark, make):
+    """Each row stood in some eight blocks, with all its columns, where its patient's days look through a list."""
+    events = spark.createDataFrame([(1, date(2020, 1, 1)), (1, date(2024, 1, 1))], "patient_id bigint, event_date date")
+    rows = make("patient_insurance", *[_row(i, start_date=date(2020, 1, 1 + i)) for i in range(20)])
+    text, _ = _joins(in_force_at(events, rows))
+    assert "explode" not in text and "collect_list" in text
+
+
+@pytest.mark.parametrize("n", [63, 64, 65])
+def test_listed_and_crowded_patients_get_the_same_row(spark, make, n):
+    """Rows of one start and id differ in other columns only: the greatest wins, listed or in blocks."""
+    rows = [
+        _row(i // 2, membership_id=f"M{i * 37 % 100:02}", start_date=date(2024, 1, 1), end_date=TODAY if i % 3 else None)
+        for i in range(n)
+    ]
+    events = spark.createDataFrame([(1, TODAY), (1, TODAY + DAY)], "patient_id bigint, event_date date")
+    found = in_force_at(events, make("patient_insurance", *rows)).select("event_date", "sr_id", "membership_id")
+    want = []
+    for at in (TODAY, TODAY + DAY):
+        fit = [(r["sr_id"], r["membership_id"]) for r in rows if (r["end_date"] or at) >= at]
+        want.append((at, *max(fit)))
+    assert sorted(map(tuple, found.collect())) == want
