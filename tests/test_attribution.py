@@ -5,7 +5,11 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from covdrift.operators.attribution import (
+    WORDS,
+    _gram_bins,
     attribute,
     audit_trail_source,
     edit_log_source,
@@ -309,3 +313,28 @@ def test_numbers_of_any_length_are_found_in_texts(make, changes, letters):
         want += [(r["patient_id"], f"u{hits[-1]:02}")] if hits else []
     found = match_logs(changes(*rows), [_edit(make, *log)], 10)
     assert tuples(found, "patient_id", "audit_user") == sorted(want, key=repr) and len(want) > 20
+
+
+def test_a_bin_of_very_many_numbers_has_a_bounded_size(spark):
+    """Every log entry was tested against a list of all grams sought near it, which grew with the changes."""
+    searched = spark.range(0, 20_000, 1, 4).selectExpr(
+        "'edit_log' as log", "0L as bin", "'text' as kind", "hex(xxhash64(id)) as value"
+    )
+    # A bin of few numbers, and one in which only whole values are sought.
+    searched = searched.union(spark.sql("select 'edit_log', 1L, 'text', 'ab'"))
+    searched = searched.union(spark.sql("select 'edit_log', 2L, 'id', 'cd'"))
+    bins = _gram_bins(searched)
+    lists = [c for c, kind in bins.dtypes if kind.startswith("array")]
+    sizes = {r[0]: sum(r[1:]) for r in bins.select("bin", *[F.size(c) for c in lists]).collect()}
+    assert sizes == {0: WORDS + 1, 1: 2, 2: 1}
+
+
+def test_numbers_are_found_among_very_many_in_one_bin(spark, make, changes):
+    """So many that most grams have a bit, sought or not: only texts that hold a number match."""
+    numbers = [f"{i * 7919 % 1_000_000:06}x{i:05}" for i in range(6000)]
+    rows = [{"patient_id": i, "insurance_sr_id": i, "membership_id": n} for i, n in enumerate(numbers)]
+    log = [{"modified_by": f"u{i}", "new_values": f"a {numbers[i]} b"} for i in range(0, 6000, 500)]
+    # All grams of a number, but not the number.
+    log += [{"modified_by": "nobody", "new_values": f"{numbers[7][:8]} {numbers[7][5:]}"}]
+    found = match_logs(changes(*rows), [_edit(make, *log)], 10)
+    assert tuples(found, "patient_id", "audit_user") == sorted([(i, f"u{i}") for i in range(0, 6000, 500)], key=repr)
