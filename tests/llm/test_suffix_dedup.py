@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import pytest
 
+from covdrift.llm.common import SHUFFLES_GO
 from covdrift.llm.suffix_dedup import Hashes, anchors, remove_repeats
 from tests.llm.helpers import docs, odd_texts, words
 
@@ -74,3 +76,23 @@ def test_empty_table_and_null_ids(spark):
     assert remove_repeats(docs(spark, []), 40, 8, 8).count() == 0
     rows = remove_repeats(docs(spark, ["y" * 50, "y" * 50], ids=[None, None]), 40, 8, 8).collect()
     assert [bytes(r.kept) for r in rows] == [b"", b""]
+
+
+def test_steps_leave_no_shuffle_files_behind(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in name}
+
+    rng = random.Random(3)
+    passage = words(rng, 25)
+    table = docs(spark, [words(rng, 5 + n) + passage + words(rng, 9) for n in range(12)])
+    before, setting = shuffled(), spark.conf.get(SHUFFLES_GO)
+    cut = remove_repeats(table, 40, 8, 8)  # all steps but the last run here
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)  # files are removed in the background
+    assert not shuffled() - before
+    assert spark.conf.get(SHUFFLES_GO) == setting
+    assert cut.where("size(spans) > 0").count() == 12
